@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime
 import decimal
+import logging
 import math
 import sys
 import time
@@ -48,7 +49,10 @@ def rows_of(columns, rows):
 
 
 def compare(df, con, sql) -> tuple[bool, str, int]:
-    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    began = time.time()
+    collected = [tuple(r) for r in df.collect()]
+    print(f"     spark {time.time() - began:.1f}s", end=" ")
+    got = rows_of(df.columns, collected)
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     types = {d[0]: str(d[1]) for d in result.description}
@@ -76,9 +80,10 @@ def main() -> int:
     from corpuscle.plans import all_queries
     from corpuscle.session import build_session
     spark = build_session(master="local[8]", conf={
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
+    logging.getLogger("DataFrameQueryContextLogger").disabled = True
     folder = f"/root/testdata/sf{args.sf}"
     con = duck(folder)
     picked = {n: q for n, q in all_queries().items()
@@ -97,7 +102,7 @@ def main() -> int:
                 n = len(df.collect())
                 ok, why = True, "(rows only)"
         except Exception as error:  # report and go on with the next query
-            ok, why, n = False, f"{type(error).__name__}: {str(error)[:900]}", -1
+            ok, why, n = False, f"{type(error).__name__}: {str(error)[:500]}", -1
         print(f"{'ok  ' if ok else 'FAIL'} {name} rows={n} {time.time() - began:.1f}s {why}",
               flush=True)
         if not ok:
