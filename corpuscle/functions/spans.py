@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuscle.functions.bind import let
+
 _MARK = "\u0001"
 _CHUNK = 128
 _EMPTY = "CAST(array() AS array<struct<start:int,stop:int,text:string>>)"
@@ -19,33 +21,36 @@ _EMPTY = "CAST(array() AS array<struct<start:int,stop:int,text:string>>)"
 def find_spans(text: Column, pattern: str) -> Column:
     """array<struct<start,stop,text>> of non-overlapping matches, 0-based, stop exclusive."""
     clean = F.replace(text, F.lit(_MARK), F.lit(" "))
-    pieces = F.split(F.regexp_replace(clean, f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK)
-    numbered = F.transform(pieces, lambda piece, i: F.struct(
+    marked = F.regexp_replace(clean, f"({pattern})", f"{_MARK}$1{_MARK}")
+    numbered = F.transform(F.split(marked, _MARK), lambda piece, i: F.struct(
         (i % 2 == 1).alias("hit"), piece.alias("text")))
-    chunks = F.transform(
-        F.sequence(F.lit(1), F.size(numbered), F.lit(_CHUNK)),
-        lambda first: F.slice(numbered, first, F.lit(_CHUNK)))
-    return F.flatten(_place(chunks))
+    return let(numbered, lambda pieces: let(_chunks(pieces), lambda chunks: let(
+        _sizes(chunks), lambda sizes: F.flatten(_place(chunks, sizes)))))
+
+
+def _chunks(pieces: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(_CHUNK)),
+                       lambda first: F.slice(pieces, first, F.lit(_CHUNK)))
 
 
-def _place(chunks: Column) -> Column:
-    sizes = F.transform(chunks, lambda chunk: F.aggregate(
+def _sizes(chunks: Column) -> Column:
+    return F.transform(chunks, lambda chunk: F.aggregate(
         chunk, F.lit(0), lambda total, piece: total + F.length(piece["text"])))
 
+
+def _place(chunks: Column, sizes: Column) -> Column:
+    def step(acc: Column, piece: Column) -> Column:
+        stop = acc["at"] + F.length(piece["text"])
+        span = F.struct(acc["at"].alias("start"), stop.alias("stop"),
+                        piece["text"].alias("text"))
+        return F.struct(stop.alias("at"),
+                        F.when(piece["hit"], F.array_append(acc["out"], span))
+                        .otherwise(acc["out"]).alias("out"))
+
     def place_chunk(chunk: Column, index: Column) -> Column:
         offset = F.aggregate(F.slice(sizes, F.lit(1), index), F.lit(0),
                              lambda total, size: total + size)
         start = F.struct(offset.alias("at"), F.expr(_EMPTY).alias("out"))
-
-        def step(acc: Column, piece: Column) -> Column:
-            stop = acc["at"] + F.length(piece["text"])
-            span = F.struct(acc["at"].alias("start"), stop.alias("stop"),
-                            piece["text"].alias("text"))
-            return F.struct(
-                stop.alias("at"),
-                F.when(piece["hit"], F.array_append(acc["out"], span))
-                .otherwise(acc["out"]).alias("out"))
-
         return F.aggregate(chunk, start, step, lambda acc: acc["out"])
 
     return F.transform(chunks, place_chunk)
@@ -53,14 +58,17 @@ def _place(chunks: Column) -> Column:
 
 def literal_spans(haystack: Column, needle: Column) -> Column:
     """0-based positions of all non-overlapping occurrences of ``needle``."""
-    pieces = F.split(haystack, F.concat(F.lit("\\Q"), needle, F.lit("\\E")), -1)
     width = F.length(needle)
-    heads = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    running = F.aggregate(
-        heads,
-        F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<int>)").alias("out")),
-        lambda acc, piece: F.struct(
-            (acc["at"] + F.length(piece) + width).alias("at"),
-            F.array_append(acc["out"], acc["at"] + F.length(piece)).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(width > 0, running).otherwise(F.expr("CAST(array() AS array<int>)"))
+    empty = F.expr("CAST(array() AS array<int>)")
+    quoted = F.concat(F.lit("\\Q"), needle, F.lit("\\E"))
+
+    def running(pieces: Column) -> Column:
+        heads = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return F.aggregate(
+            heads, F.struct(F.lit(0).alias("at"), empty.alias("out")),
+            lambda acc, piece: F.struct(
+                (acc["at"] + F.length(piece) + width).alias("at"),
+                F.array_append(acc["out"], acc["at"] + F.length(piece)).alias("out")),
+            lambda acc: acc["out"])
+
+    return F.when(width > 0, let(F.split(haystack, quoted, -1), running)).otherwise(empty)

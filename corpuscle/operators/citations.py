@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuscle.functions.bind import let
 from corpuscle.functions.spans import find_spans
 from corpuscle.functions.text import literal_pattern, strip_edges, text_or_empty
 from corpuscle.rules import legal
@@ -239,8 +240,9 @@ def _with_year(name: str):
 
 def drop_prefix_documents(documents: Column) -> Column:
     """Drop a name that is a word prefix of another name of the same text."""
-    return F.filter(documents, lambda d: ~F.exists(documents, lambda o: (o != d) & F.startswith(
-        F.lower(o), F.concat(F.lower(d), F.lit(" ")))))
+    return let(documents, lambda names: F.filter(names, lambda d: ~F.exists(
+        names, lambda o: (o != d) & F.startswith(
+            F.lower(o), F.concat(F.lower(d), F.lit(" "))))))
 
 
 def drop_bare_articles(citations: DataFrame, keys: Sequence[str]) -> DataFrame:
