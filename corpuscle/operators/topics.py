@@ -89,10 +89,11 @@ def topic_distribution(labelled: DataFrame, sample: str, order: str,
 
     Samples come from a small bounded top-k aggregate, not from collected groups.
     """
-    counts = labelled.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    total = labelled.agg(F.count(F.lit(1)).alias("total"))
+    everything = Window.partitionBy()          # over one row per topic
+    counts = (labelled.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("total", F.sum("n").over(everything)))
     firsts = first_k(labelled, ["topic"], order, sample, samples)
-    return (counts.join(F.broadcast(total)).join(firsts, "topic", "left")
+    return (counts.join(firsts, "topic", "left")
             .select("topic", "n", F.expr("n * 100 div total").alias("percent"),
                     F.array_join("firsts", " | ").alias("samples")))
 
