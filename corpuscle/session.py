@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (iterative jobs call this each round)."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table written to the shared folder.
+
+    Iterative jobs call this each round: the plan starts again from files that
+    outlive executors, and the rows are computed once.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
