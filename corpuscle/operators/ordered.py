@@ -72,6 +72,23 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], bloc
     return out.drop(_BLOCK, *[f"_{p}_{n}" for n in values for p in "vlc"])
 
 
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
+                   **values: Column) -> DataFrame:
+    """Add, per keyword, the value of the row right before each row."""
+    staged = df.withColumn(_BLOCK, block).withColumns({f"_v_{n}": v for n, v in values.items()})
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
+    ends = staged.groupBy(*keys, _BLOCK).agg(F.max_by(
+        F.struct(*[f"_v_{n}" for n in values]), _order(order)).alias("_e"))
+    blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
+    carry = ends.select(*keys, _BLOCK, F.lag("_e").over(blocks).alias("_c"))
+    local = staged.withColumns({"_first": F.row_number().over(inside) == 1, **{
+        f"_l_{n}": F.lag(f"_v_{n}").over(inside) for n in values}})
+    joined = _attach(local, carry, keys)
+    out = joined.withColumns({n: F.when(F.col("_first"), F.col(f"_c._v_{n}")).otherwise(
+        F.col(f"_l_{n}")) for n in values})
+    return out.drop(_BLOCK, "_first", "_c", *[f"_{p}_{n}" for n in values for p in "vl"])
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
                 name: str = "rn") -> DataFrame:
     """1-based position of each row inside its key."""

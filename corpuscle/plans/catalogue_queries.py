@@ -170,7 +170,7 @@ def depth_histogram(t: Tables):
 WITH o AS (SELECT n_name AS code, n_nationkey AS catalogue_id, 'old' AS title, 'x' AS note FROM nation),
 n AS (SELECT concat('NATION_', c_nationkey) AS code, max(c_name) AS title,
       CASE WHEN max(c_custkey) % 2 = 0 THEN NULL ELSE 'new' END AS note FROM customer
-      WHERE c_acctbal > 9800 GROUP BY c_nationkey UNION ALL SELECT 'EXTRA', 't', 'n')
+      WHERE c_acctbal > 0 GROUP BY c_nationkey UNION ALL SELECT 'EXTRA', 't', 'n')
 SELECT coalesce(o.code, n.code) AS code, o.catalogue_id,
        CASE WHEN n.code IS NOT NULL THEN n.title ELSE o.title END AS title,
        CASE WHEN n.code IS NOT NULL THEN n.note ELSE o.note END AS note
@@ -178,7 +178,7 @@ FROM o FULL JOIN n ON n.code = o.code""")
 def parent_upsert(t: Tables):
     old = t.nation.select(F.col("n_name").alias("code"), F.col("n_nationkey").alias("catalogue_id"),
                           F.lit("old").alias("title"), F.lit("x").alias("note"))
-    new = t.customer.where("c_acctbal > 9800").groupBy("c_nationkey").agg(
+    new = t.customer.where("c_acctbal > 0").groupBy("c_nationkey").agg(
         F.max("c_name").alias("title"),
         F.when(F.max("c_custkey") % 2 == 1, "new").alias("note")).select(
         F.concat(F.lit("NATION_"), "c_nationkey").alias("code"), "title", "note")
