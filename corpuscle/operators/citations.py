@@ -310,6 +310,6 @@ def citation_totals(before: DataFrame, after: DataFrame, changed: Column) -> Dat
     """Items before and after the merge, and how many names changed."""
     first = before.agg(F.count(F.lit(1)).alias("items_before"),
                        F.count_if(changed).alias("names_changed"))
-    last = after.agg(F.count(F.lit(1)).alias("items_after"))
-    return (first.join(F.broadcast(last))
+    last = after.agg(F.count(F.lit(1)))
+    return (first.withColumn("items_after", last.scalar())
             .withColumn("merged", F.col("items_before") - F.col("items_after")))

@@ -72,13 +72,16 @@ def cosine_pairs(pairs: DataFrame, key: Sequence[str], left: str, right: str,
     """Bag-of-words cosine per pair of texts.
 
     Words are counted per pair before the shuffle (all words of a pair are in
-    one task already), so what moves is one row per distinct word.
+    one task already), so what moves is one row per distinct word.  An empty
+    marker word keeps pairs without any words.
     """
     def side(column: str, mark: int) -> Column:
         return F.transform(tokens(F.col(column), stop_words),
                            lambda w: F.struct(w.alias("w"), F.lit(mark).alias("side")))
 
-    words = pairs.select(*key, F.explode(F.concat(side(left, 0), side(right, 1))).alias("e"))
+    marker = F.array(F.struct(F.lit("").alias("w"), F.lit(-1).alias("side")))
+    words = pairs.select(*key, F.explode(F.concat(
+        marker, side(left, 0), side(right, 1))).alias("e"))
     counts = words.groupBy(*key, "e.w").agg(
         F.count_if(F.col("e.side") == 0).alias("a"), F.count_if(F.col("e.side") == 1).alias("b"))
     sums = counts.groupBy(*key).agg(
@@ -86,9 +89,7 @@ def cosine_pairs(pairs: DataFrame, key: Sequence[str], left: str, right: str,
         F.sum(F.col("b") * F.col("b")).alias("nb"))
     value = F.when((F.col("na") > 0) & (F.col("nb") > 0),
                    F.col("dot") / F.sqrt(F.col("na").cast("double") * F.col("nb")))
-    return pairs.select(*key).join(
-        sums.select(*key, F.coalesce(value, F.lit(0.0)).alias("cosine")), list(key), "left") \
-        .withColumn("cosine", F.coalesce("cosine", F.lit(0.0)))
+    return sums.select(*key, F.coalesce(value, F.lit(0.0)).alias("cosine"))
 
 
 def answer_score(matched_documents: Column, gold_documents: Column, matched_articles: Column,

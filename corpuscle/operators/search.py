@@ -127,8 +127,8 @@ def filter_list(df: DataFrame, *, field: str | None = None, document: str | None
 
 def first_page(rows: DataFrame, order: Sequence[Column | str], size: int = 200) -> DataFrame:
     """The first ``size`` rows with the total row count attached."""
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    return rows.orderBy(*order).limit(size).join(F.broadcast(total))
+    total = rows.agg(F.count(F.lit(1)))
+    return rows.orderBy(*order).limit(size).withColumn("total", total.scalar())
 
 
 def article_histogram(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from corpuscle.operators.merge import FILL, KEEP, REPLACE, insert_missing, merge
 from corpuscle.operators.names import document_key, document_type
 from corpuscle.operators.ordered import carry_last, first_rows, row_numbers
 from corpuscle.rules import legal
+from corpuscle.rules.tables import literal_table
 
 # ---------------------------------------------------------------- dimensions
 
@@ -24,8 +25,8 @@ from corpuscle.rules import legal
 def source_columns(records: DataFrame, source: str,
                    known: Sequence[tuple[str, str, str, str]] = tuple(legal.SOURCES)) -> DataFrame:
     """Add source code, full name and site; unknown sources get a slug code."""
-    table = records.sparkSession.createDataFrame(
-        list(known), "_s STRING, _code STRING, _name STRING, _site STRING")
+    table = literal_table(records.sparkSession, known,
+                          "_s STRING, _code STRING, _name STRING, _site STRING")
     text = text_or_empty(F.col(source))
     return (records.join(table, text == F.col("_s"), "left")
             .withColumns({
@@ -84,10 +85,9 @@ def assign_ids(dimension: DataFrame, key: str, id_column: str, block: Column) ->
     """
     has_id = dimension.where(F.col(id_column).isNotNull())
     fresh = dimension.where(F.col(id_column).isNull()).drop(id_column)
-    top = has_id.agg(F.coalesce(F.max(id_column).cast("bigint"), F.lit(0).cast("bigint"))
-                     .alias("_top"))
-    numbered = (row_numbers(fresh, [], [key], block, "_rn").join(F.broadcast(top))
-                .withColumn(id_column, F.col("_top") + F.col("_rn")).drop("_top", "_rn"))
+    top = has_id.agg(F.coalesce(F.max(id_column).cast("bigint"), F.lit(0).cast("bigint")))
+    numbered = (row_numbers(fresh, [], [key], block, "_rn")
+                .withColumn(id_column, top.scalar() + F.col("_rn")).drop("_rn"))
     return (has_id.withColumn(id_column, F.col(id_column).cast("bigint"))
             .unionByName(numbered.select(*dimension.columns)))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpuscle.functions.bind import let
 from corpuscle.operators import ocr as O
 from corpuscle.plans.registry import Tables, query
 
@@ -215,9 +216,14 @@ def reading_order(t: Tables):
 
 
 def placed_word(word, i):
-    row, column = F.floor(i / 7), i % 7
-    top = (row * 20 + F.floor(row / 5) * 30 + (i * 13) % 5).cast("double")
-    left = (column * 90 + (i * 7) % 11).cast("double")
-    corners = [(0, 0), (80, 0), (80, 12), (0, 12)]
-    return F.struct(word.alias("text"), F.array(*[
-        F.struct((left + x).alias("x"), (top + y).alias("y")) for x, y in corners]).alias("poly"))
+    row = F.floor(i / 7)
+    corner = F.struct(
+        (row * 20 + F.floor(row / 5) * 30 + (i * 13) % 5).cast("double").alias("top"),
+        ((i % 7) * 90 + (i * 7) % 11).cast("double").alias("left"))
+
+    def with_box(at):
+        return F.struct(word.alias("text"), F.array(*[
+            F.struct((at["left"] + x).alias("x"), (at["top"] + y).alias("y"))
+            for x, y in ((0, 0), (80, 0), (80, 12), (0, 12))]).alias("poly"))
+
+    return let(corner, with_box)

@@ -147,16 +147,15 @@ def nested_scan(t: Tables):
 def array_files(t: Tables):
     """Rows written as files that each hold one JSON array, read back as flat records.
 
-    A file holds one conversation's block of turns; one more file is no array
-    and is skipped.
+    A file holds 64 turns of at most 128 conversations; one more file is no
+    array and is skipped.
     """
     folder = _folder(t)
     row = F.to_json(F.struct("conv_id", "turn", "role", "text"))
-    blocks = t.conversations.groupBy("conv_id", F.expr("turn div 64").alias("block")).agg(
+    blocks = t.conversations.groupBy(
+        F.expr("conv_id div 128").alias("convs"), F.expr("turn div 64").alias("turns")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(row), ","), F.lit("]")).alias("value"))
-    (blocks.withColumn("part", F.pmod(F.col("conv_id"), F.lit(8)))
-     .sortWithinPartitions("part").select("value")
-     .write.option("maxRecordsPerFile", 1).text(f"{folder}/arrays"))
+    (blocks.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/arrays"))
     t.spark.range(1).select(F.lit('{"conv_id": -1}').alias("value")).write.text(f"{folder}/other")
     return readers.read_json_arrays(
         t.spark, [f"{folder}/arrays", f"{folder}/other"],

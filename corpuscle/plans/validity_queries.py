@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.text import posted_date_iso
 from corpuscle.operators import validity as V
 from corpuscle.plans.registry import Tables, query
+from corpuscle.rules.tables import literal_table
 
 # A small status configuration.  Later rows with the same name win.
 STATUS = [
@@ -102,13 +103,12 @@ def _named(t: Tables):
 
 
 def _config(t: Tables):
-    spark = t.spark
-    status = spark.createDataFrame([(n, s, note, i) for i, (n, s, note) in enumerate(STATUS)],
-                                   "name STRING, status STRING, note STRING, position INT")
+    status = literal_table(t.spark, [(n, s, note, i) for i, (n, s, note) in enumerate(STATUS)],
+                           "name STRING, status STRING, note STRING, position INT")
     return (V.last_wins(status, "name", "position"),
-            spark.createDataFrame(CUTOFFS, "name STRING, cutoff STRING, after STRING, "
-                                           "before STRING, note STRING"),
-            spark.createDataFrame(YEARS, "name STRING, years ARRAY<STRING>"))
+            literal_table(t.spark, CUTOFFS, "name STRING, cutoff STRING, after STRING, "
+                                            "before STRING, note STRING"),
+            literal_table(t.spark, YEARS, "name STRING, years ARRAY<STRING>"))
 
 
 def _resolved(t: Tables):
