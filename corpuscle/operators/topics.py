@@ -78,8 +78,9 @@ def classify(records: DataFrame, topics: Sequence[Topic], *, title: Column, ques
         for i, t in enumerate(topics)]))
     best = F.array_max("_s")
     return (scored.withColumn("_b", best)
-            .withColumns({"topic": F.when(F.col("_b.score") > 0, F.col("_b.topic"))
-                          .otherwise(F.lit(other)), "score": F.col("_b.score")})
+            .withColumns({"topic": F.coalesce(           # never NULL, so joins on it add no filter
+                F.when(F.col("_b.score") > 0, F.col("_b.topic")), F.lit(other)),
+                "score": F.col("_b.score")})
             .drop("_t", "_q", "_d", "_s", "_b"))
 
 

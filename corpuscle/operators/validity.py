@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuscle.functions.bind import let
 from corpuscle.functions.text import posted_date_iso, strip_edges, text_or_empty
 from corpuscle.rules import legal
 
@@ -26,26 +27,43 @@ def canonical_name(name: Column,
     """Numbered names become 'type n/yyyy[/suffix]', others 'expanded name [year]'."""
     text = F.regexp_replace(text_or_empty(name), r"(?U)\bnăm\s+", "")
     text = F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
-    text = F.regexp_replace(text, r"\s*/\s*", "/")
+    table = legal.ABBREVIATIONS if abbreviations is None else abbreviations
+    return let(F.regexp_replace(text, r"\s*/\s*", "/"), lambda t: F.coalesce(
+        _numbered(t), _named(t, table)))
+
+
+def _numbered(text: Column) -> Column:
+    """'type n/yyyy[/suffix]', NULL for a text without a number."""
     kinds = legal.one_of(["Bộ luật", "Luật", "Nghị định", "Nghị quyết", "Thông tư liên tịch",
                           "Thông tư", "Quyết định", "Pháp lệnh", "Hiến pháp", "Văn bản hợp nhất"])
-    kind = F.regexp_extract(text, f"^({kinds})", 1)
-    serial, year, suffix = (F.regexp_extract(text, _NUMBER, i) for i in (1, 2, 3))
-    numbered = F.trim(F.concat(kind, F.lit(" "), serial, F.lit("/"), year))
-    numbered = F.when(suffix == "", numbered).otherwise(F.concat(numbered, F.lit("/"), suffix))
 
+    def parts(number: Column) -> Column:
+        kind = F.regexp_extract(text, f"^({kinds})", 1)
+        serial, year, suffix = (F.regexp_extract(number, _NUMBER, i) for i in (1, 2, 3))
+        base = F.trim(F.concat(kind, F.lit(" "), serial, F.lit("/"), year))
+        return F.when(suffix == "", base).otherwise(F.concat(base, F.lit("/"), suffix))
+
+    return let(F.regexp_substr(text, F.lit(_NUMBER)),
+               lambda number: F.when(number.isNotNull(), parts(number)))
+
+
+def _named(text: Column, abbreviations: dict[str, str]) -> Column:
+    """Name without its year, spellings unified and abbreviations written out, year put back."""
     plain = strip_edges(F.regexp_replace(text, _YEAR, ""), " )(.,;:\"'-")
     plain = F.regexp_replace(plain, r"\s+", " ")
     plain = F.replace(plain, F.lit("Luật Dân sự"), F.lit("Bộ luật Dân sự"))
     plain = F.replace(plain, F.lit("Bộ luật Bộ luật"), F.lit("Bộ luật"))
-    plain = F.regexp_replace(plain, "Hôn nhân và [Gg]ia đình", "Hôn nhân và gia đình")
+    plain = F.replace(plain, F.lit("Hôn nhân và Gia đình"), F.lit("Hôn nhân và gia đình"))
     plain = F.replace(plain, F.lit("Hôn nhân gia đình"), F.lit("Hôn nhân và gia đình"))
-    table = legal.ABBREVIATIONS if abbreviations is None else abbreviations
-    for short, long in table.items():
-        plain = F.regexp_replace(plain, rf"(?U)\b{short}\b", long)
-    dated = F.regexp_extract(text, _YEAR, 1)
-    named = F.when(dated == "", plain).otherwise(F.trim(F.concat_ws(" ", plain, dated)))
-    return F.when(serial != "", numbered).otherwise(named)
+    for short, long in abbreviations.items():
+        plain = let(plain, _spell_out(short, long))
+    return let(F.regexp_extract(text, _YEAR, 1), lambda year: F.when(year == "", plain).otherwise(
+        F.trim(F.concat_ws(" ", plain, year))))
+
+
+def _spell_out(short: str, long: str):
+    return lambda text: F.when(F.contains(text, F.lit(short)), F.regexp_replace(
+        text, rf"(?U)\b{short}\b", long)).otherwise(text)
 
 
 def last_wins(config: DataFrame, key: str, position: str) -> DataFrame:
@@ -129,10 +147,11 @@ def bucket(status: Column) -> Column:
 
 def unresolved_ranking(rows: DataFrame, name: str, top: int = 0) -> DataFrame:
     """Unknown documents by number of questions."""
-    ranked = (rows.where((F.col("status") == UNKNOWN)
-                         & (F.coalesce(F.col(name), F.lit("")) != ""))
-              .groupBy(F.col(name).alias("document")).agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "document"))
+    counts = (rows.where(F.col("status") == UNKNOWN).groupBy(F.col(name).alias("document"))
+              .agg(F.count(F.lit(1)).alias("n"), F.max(F.length(name)).alias("_width")))
+    # The blank name is dropped behind the aggregate: a filter on the name itself
+    # would be pushed down and make every row compute its name twice.
+    ranked = counts.where(F.col("_width") > 0).drop("_width").orderBy(F.desc("n"), "document")
     return ranked.limit(top) if top > 0 else ranked
 
 

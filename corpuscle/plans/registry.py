@@ -7,6 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpuscle.session import spread_small
+
+
+# Tables whose rows are long texts, with their key.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
 
 class Tables:
     """Lazy access to the Parquet tables of one folder: ``t.orders``, ``t.documents``..."""
@@ -18,7 +24,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread_small(table, TEXT_TABLES[name]) if name in TEXT_TABLES else table
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from corpuscle.functions.text import posted_date_iso
 from corpuscle.operators import validity as V
 from corpuscle.plans.registry import Tables, query
 from corpuscle.rules.tables import literal_table
+from corpuscle.session import spread_small
 
 # A small status configuration.  Later rows with the same name win.
 STATUS = [
@@ -97,7 +98,7 @@ w AS (SELECT *, CASE WHEN status IN ('con', 'con_sd') THEN 'keep' WHEN status =
 
 
 def _named(t: Tables):
-    rows = t.spark.sql(REFERENCE, orders=t.orders)
+    rows = t.spark.sql(REFERENCE, orders=spread_small(t.orders, "o_orderkey"))
     return rows.withColumns({"name": V.canonical_name(F.col("reference")),
                              "iso": posted_date_iso("posted")})
 

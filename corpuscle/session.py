@@ -50,6 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Below this size a table may sit in one file split; above it a scan has splits enough.
+_SMALL_INPUT = 1 << 30
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a small table over all cores for per-row work that is heavy.
+
+    A small file is one scan task whatever its rows cost.  Input above the size
+    limit is returned unchanged: its scan is parallel already, and moving the
+    texts would be the bottleneck.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= _SMALL_INPUT:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a table written to the shared folder.
 
