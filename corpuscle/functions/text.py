@@ -37,6 +37,13 @@ def _fold_table() -> tuple[str, str]:
     return "".join(composed), "".join(base)
 
 
+@lru_cache(maxsize=1)
+def _marks() -> str:
+    """All combining marks: they have no counterpart, so translating deletes them."""
+    return "".join(chr(c) for c in range(0x300, sys.maxunicode + 1)
+                   if unicodedata.category(chr(c)) == "Mn")
+
+
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -68,12 +75,19 @@ def strip_edges(value: Column | str, chars: str) -> Column:
 def strip_accents(value: Column | str) -> Column:
     """Drop diacritics, keep case.  Composed and decomposed input agree."""
     source, target = _fold_table()
-    return F.regexp_replace(F.translate(_col(value), source, target), r"\p{Mn}+", "")
+    return F.translate(_col(value), source + _marks(), target)
 
 
 def fold(value: Column | str) -> Column:
-    """Lower case without diacritics, white space collapsed; NULL folds to ''."""
-    return squeeze(strip_accents(F.lower(text_or_empty(value))))
+    """Lower case without diacritics, white space collapsed; NULL folds to ''.
+
+    Letters, marks and white space are handled in one pass over the text.
+    """
+    source, target = _fold_table()
+    space = WHITE[1:]
+    plain = F.translate(F.lower(text_or_empty(value)), space + source + _marks(),
+                        " " * len(space) + target)
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def fold_chars(value: Column | str) -> Column:

@@ -90,30 +90,35 @@ def dominant_document(mentions: DataFrame, key: str) -> DataFrame:
                                    F.max("n").alias("mentions"))
 
 
-def pair_articles(articles: DataFrame, mentions: DataFrame, dominant: DataFrame, key: str,
+def pair_articles(articles: DataFrame, mentions: DataFrame, key: str,
                   grammar: Grammar = LEGAL) -> DataFrame:
-    """The document each article belongs to.
+    """Add the document each article belongs to.
 
     A document that starts right behind the article, else the nearest one in
-    reach, else the record's dominant one.  The nearest document to a point is
-    the last one before it or the first one behind it, so two sorted passes
-    over the record's positions replace the article x document product.
+    reach, else the record's dominant one (as ``dominant_document`` ranks it).
+    The nearest document to a point is the last one before it or the first one
+    behind it, so two sorted passes over the record's positions replace the
+    article x document product.  All passes share one shuffle by record.
     """
-    doc = F.struct(F.col("start").alias("at"), F.col("document").alias("document"))
-    points = mentions.select(
-        key, F.col("start").alias("pos"), doc.alias("doc"),
-        F.lit(None).cast("int").alias("a_start"), F.lit(None).cast("int").alias("a_stop"))
-    probes = articles.select(
-        key, F.explode(F.array("start", "stop")).alias("pos"),
-        F.lit(None).cast(points.schema["doc"].dataType).alias("doc"),
-        F.col("start").alias("a_start"), F.col("stop").alias("a_stop"))
-    both = points.unionByName(probes)
-    up = Window.partitionBy(key).orderBy("pos").rangeBetween(
+    columns = articles.columns
+    doc = F.struct(F.col("start").alias("at"), F.col("document").alias("document"),
+                   (F.col("number") != "").alias("numbered"))
+    article = F.struct(*columns)
+    points = mentions.select(key, F.col("start").alias("pos"), doc.alias("doc"))
+    probes = articles.select(key, F.explode(F.array("start", "stop")).alias("pos"),
+                             article.alias("article"))
+    both = points.unionByName(probes, allowMissingColumns=True)
+
+    record, named = Window.partitionBy(key), Window.partitionBy(key, "doc.document")
+    up = record.orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = record.orderBy(F.desc("pos")).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(key).orderBy(F.desc("pos")).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    near = both.withColumns({"before": F.max("doc").over(up), "behind": F.min("doc").over(down)})
-    start, stop = F.col("a_start"), F.col("a_stop")
+    both = both.withColumns({"before": F.max("doc").over(up), "behind": F.min("doc").over(down),
+                             "_n": F.count("doc").over(named), "_f": F.min("doc.at").over(named)})
+    rank = F.when(F.col("doc").isNotNull(),
+                  F.struct("_n", F.col("doc.numbered").alias("numbered"), -F.col("_f")))
+    both = both.withColumn("dominant", F.max_by(F.col("doc.document"), rank).over(record))
+    start, stop = F.col("article.start"), F.col("article.stop")
 
     def offer(side: str) -> Column:
         at = F.col(f"{side}.at")
@@ -122,21 +127,16 @@ def pair_articles(articles: DataFrame, mentions: DataFrame, dominant: DataFrame,
             gap.alias("gap"), at.alias("at"), F.col(f"{side}.document").alias("document")))
 
     adjacent = F.when(
-        (F.col("behind.at") >= stop) & (F.col("behind.at") - stop <= grammar.adjacent),
-        F.col("behind.document"))
-    offers = (near.where(start.isNotNull())
-              .groupBy(key, "a_start", "a_stop")
-              .agg(F.max(F.when(F.col("pos") == stop, adjacent)).alias("adjacent"),
-                   F.least(F.min(offer("before")), F.min(offer("behind"))).alias("nearest")))
-    offers = offers.select(
-        F.col(key).alias("_k"), "a_start", "a_stop", "adjacent",
-        F.when(F.col("nearest.gap") <= grammar.reach, F.col("nearest.document")).alias("nearest"))
-    joined = articles.join(
-        offers, (F.col(key) == F.col("_k")) & (articles["start"] == F.col("a_start"))
-        & (articles["stop"] == F.col("a_stop")), "left").drop("_k", "a_start", "a_stop")
-    return (joined.join(dominant.select(key, "dominant"), key, "left")
-            .withColumn("document", F.coalesce("adjacent", "nearest", "dominant", F.lit("")))
-            .drop("adjacent", "nearest", "dominant"))
+        (F.col("pos") == stop) & (F.col("behind.at") >= stop)
+        & (F.col("behind.at") - stop <= grammar.adjacent), F.col("behind.document"))
+    found = (both.where(F.col("article").isNotNull())
+             .groupBy(key, start.alias("_start"), stop.alias("_stop"))
+             .agg(F.first("article").alias("article"), F.first("dominant").alias("dominant"),
+                  F.max(adjacent).alias("adjacent"),
+                  F.least(F.min(offer("before")), F.min(offer("behind"))).alias("nearest")))
+    near = F.when(F.col("nearest.gap") <= grammar.reach, F.col("nearest.document"))
+    return found.select("article.*", F.coalesce(
+        "adjacent", near, "dominant", F.lit("")).alias("document"))
 
 
 def best_reference(records: DataFrame, key: str, text: str,
@@ -171,7 +171,7 @@ def best_reference(records: DataFrame, key: str, text: str,
     article = article.select(key, F.col("a.cited").alias("cited"), F.col("a.start").alias("start"),
                              F.col("a.stop").alias("stop"))
     mentions = document_mentions(records, key, text, grammar)
-    paired = pair_articles(article, mentions, dominant_document(mentions, key), key, grammar)
+    paired = pair_articles(article, mentions, key, grammar)
     pairs = paired.select(key, F.trim(F.concat_ws(" ", "cited", "document")).alias("pair"))
     return (records.select(key).join(full, key, "left").join(pairs, key, "left")
             .select(key, F.coalesce("full", "pair", F.lit("")).alias("reference")))

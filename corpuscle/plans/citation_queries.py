@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import fold
@@ -70,9 +71,7 @@ def _articles(t: Tables):
 
 
 def _paired(t: Tables):
-    mentions = _mentions(t)
-    return C.pair_articles(_articles(t), mentions, C.dominant_document(mentions, "doc_id"),
-                           "doc_id", GRAMMAR)
+    return C.pair_articles(_articles(t), _mentions(t), "doc_id", GRAMMAR)
 
 
 @query("mention_extract", "C1", MENTIONS + "SELECT doc_id, start, stop, document, number FROM d")
@@ -384,8 +383,9 @@ FROM n JOIN dim ON dim.key = n.key LEFT JOIN top ON top.key = n.key GROUP BY 1,
 def popular_documents(t: Tables):
     """Mentions -> dominant document -> document dimension -> ranking.
 
-    The texts are scanned once: mentions are reduced per record and document
-    before anything is shuffled by document.
+    The texts are scanned once, and one branch leads to the ranking: mentions
+    are reduced per record and document, the dominant one is marked inside its
+    record, and both figures are summed per document key.
     """
     number = F.col("number")
     key = F.when(number != "", F.concat(F.lit("sh:"), F.right("number", F.lit(4)))).otherwise(
@@ -393,23 +393,20 @@ def popular_documents(t: Tables):
     per_record = (_mentions(t).groupBy("doc_id", "document", "number")
                   .agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("first"))
                   .withColumn("key", key))
-    best = F.struct("n", (number != "").alias("numbered"), -F.col("first"))
-    dominant = per_record.groupBy("doc_id").agg(F.max_by("key", best).alias("key"))
-    dominant_in = dominant.groupBy("key").agg(F.count(F.lit(1)).alias("dominant_in"))
+    best = Window.partitionBy("doc_id").orderBy(F.desc("n"), F.desc(number != ""), "first")
+    per_record = per_record.withColumn("top", (F.row_number().over(best) == 1).cast("int"))
     place = F.struct("doc_id", "first")
     per_key = per_record.groupBy("key", "doc_id").agg(
         F.sum("n").alias("n"), F.min_by("document", place).alias("name"),
         F.min_by("number", F.when(number != "", place)).alias("number"),
         F.min(place).alias("place"),
-        F.min(F.when(number != "", place)).alias("number_place"))
+        F.min(F.when(number != "", place)).alias("number_place"), F.max("top").alias("top"))
     ranking = per_key.groupBy("key").agg(
         F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("records"),
         F.min_by("name", "place").alias("name"),
-        F.min_by("number", "number_place").alias("number"))
-    return (ranking.join(dominant_in, "key", "left")
-            .select("key", "name", "number", "mentions", "records",
-                    F.coalesce("dominant_in", F.lit(0).cast("bigint")).alias("dominant_in"))
-            .orderBy(F.desc("mentions"), "key"))
+        F.min_by("number", "number_place").alias("number"), F.sum("top").alias("dominant_in"))
+    return ranking.select("key", "name", "number", "mentions", "records", "dominant_in").orderBy(
+        F.desc("mentions"), "key")
 
 
 @query("consolidated_documents", "L14", with_standins("document_dim") + f""",

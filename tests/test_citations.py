@@ -46,7 +46,7 @@ def test_pairing_distances(rows, gap, want):
     articles = rows([("r", start, stop, "Điều 1", "", "", "1")],
                     "id STRING, start INT, stop INT, quoted STRING, point STRING, "
                     "clause STRING, article STRING")
-    got = C.pair_articles(articles, mentions, C.dominant_document(mentions, "id"), "id")
+    got = C.pair_articles(articles, mentions, "id")
     assert [r["document"] for r in got.collect()] == [want]
 
 
@@ -67,7 +67,7 @@ def test_pairing_equals_brute_force(spark):
         best = min(mine, key=lambda d: min(abs(d[1] - s), abs(d[1] - e)))
         near = min(abs(best[1] - s), abs(best[1] - e)) <= 150
         want.append((k, s, right[0][2] if right else best[2] if near else dom[k]))
-    got = C.pair_articles(articles, mentions, C.dominant_document(mentions, "id"), "id")
+    got = C.pair_articles(articles, mentions, "id")
     assert values(got, "id", "start", "document") == sorted(want, key=repr)
 
 
