@@ -59,17 +59,23 @@ def merge_topics(old: DataFrame, names: DataFrame) -> DataFrame:
 
 def document_dimension(mentions: DataFrame, position: Sequence[str],
                        number_pattern: str | None = None) -> DataFrame:
-    """Mentions (name, number, link) -> one row per key, first name, first filled fields."""
-    keyed = mentions.where(text_or_empty(F.col("name")) != "").withColumn(
-        "key", document_key(F.col("name"), F.col("number"), number_pattern))
-    order = F.struct(*position)
-
-    def first_filled(column: str) -> Column:
-        return F.min_by(column, F.when(empty_to_null(F.col(column)).isNotNull(), order))
+    """Mentions (name, number, link) -> one row per key, first name, first filled fields.
 
+    Mentions are reduced to distinct spellings first, so the key is computed
+    once per spelling and little is shuffled.
+    """
+    order = F.struct(*position)
+    linked = F.when(empty_to_null(F.col("link")).isNotNull(), order)
+    spellings = (mentions.where(text_or_empty(F.col("name")) != "").groupBy("name", "number")
+                 .agg(F.min(order).alias("place"), F.min_by("link", linked).alias("link"),
+                      F.min(linked).alias("link_place")))
+    keyed = spellings.withColumn(
+        "key", document_key(F.col("name"), F.col("number"), number_pattern))
+    numbered = F.when(empty_to_null(F.col("number")).isNotNull(), F.col("place"))
     return keyed.groupBy("key").agg(
-        F.min_by("name", order).alias("name"), first_filled("number").alias("number"),
-        first_filled("link").alias("link")).withColumn("type", document_type(F.col("name")))
+        F.min_by("name", "place").alias("name"), F.min_by("number", numbered).alias("number"),
+        F.min_by("link", "link_place").alias("link")).withColumn(
+        "type", document_type(F.col("name")))
 
 
 def merge_documents(old: DataFrame, new: DataFrame) -> DataFrame:

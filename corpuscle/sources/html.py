@@ -20,6 +20,8 @@ JUNK_CLASSES = ("advHolder", "viewAds", "ads-", "-ads", "adsbygoogle", "google-a
                 "ad-label-container", "model_prompt", "related-content", "author")
 BLOCK_TAGS = ("p", "li", "tr", "h1", "h2", "h3", "h4")
 NESTING_TAGS = ("p", "li", "tr")
+ENDS_PARAGRAPH = ("p", "table", "ul", "ol", "dl", "div", "h1", "h2", "h3", "h4", "h5", "h6",
+                  "blockquote", "pre", "form", "hr", "article", "section", "footer", "header")
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
              "track", "wbr")
 
@@ -66,8 +68,10 @@ class _Page(HTMLParser):
             return
         values = dict(attrs)
         css = values.get("class") or ""
-        if tag in ("p", "li", "tr"):          # these close an open sibling of their own kind
-            self._close_open(tag, {"p": (), "li": ("ul", "ol"), "tr": ("table",)}[tag])
+        if tag in ENDS_PARAGRAPH:             # a new block closes an open paragraph
+            self._close_open("p", ())
+        if tag in ("li", "tr"):               # and these an open sibling of their own kind
+            self._close_open(tag, {"li": ("ul", "ol"), "tr": ("table",)}[tag])
         junk = (bool(self.stack) and self.stack[-1].junk) or tag in self.rules.junk_tags or any(
             part in css for part in self.rules.junk_classes)
         if tag in NESTING_TAGS:
