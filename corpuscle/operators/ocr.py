@@ -16,6 +16,9 @@ GOOD = "[^0-9A-Za-zÀ-ỹ]"
 WORD = "[A-Za-zÀ-ỹ]{2,}"
 GOOD_SHARE, GAP_SHARE, ROW_SHARE, DEFAULT_HEIGHT = 0.55, 0.9, 0.6, 10
 WORD_LEVEL, MIN_CONFIDENCE = 5, -5
+# Wording of the run messages.
+QUOTA_MARK, ALL_BAD = "quota theo ngay", "tat ca {} trang deu loi: "
+SOME_BAD = "loi o trang {} (cac trang khac da xong)"
 
 
 def clean_lines(text: Column) -> Column:
@@ -133,7 +136,7 @@ def models_used(results: DataFrame, default: str) -> DataFrame:
         .alias("models"))
 
 
-def run_verdicts(results: DataFrame, quota_mark: str = "quota theo ngay") -> DataFrame:
+def run_verdicts(results: DataFrame, quota_mark: str = QUOTA_MARK) -> DataFrame:
     """Per file: error when every page failed, done with the failed pages, or done."""
     bad = F.coalesce(F.col("error"), F.lit("")) != ""
     rows = results.groupBy("file").agg(
@@ -142,13 +145,15 @@ def run_verdicts(results: DataFrame, quota_mark: str = "quota theo ngay") -> Dat
         F.min_by("error", F.when(F.contains("error", F.lit(quota_mark)), F.col("page")))
         .alias("_quota"),
         F.array_join(F.array_sort(F.collect_list(F.when(bad, F.col("page")))), ", ").alias("_list"))
+    def fill(template: str, value: Column) -> Column:
+        return F.replace(F.lit(template), F.lit("{}"), value)
+
     all_bad = (F.col("bad") > 0) & (F.col("bad") == F.col("pages"))
     return rows.select(
         "file", "pages", "bad", F.when(all_bad, "error").otherwise(F.lit("done")).alias("state"),
         F.when(all_bad, F.coalesce("_quota", F.concat(
-            F.lit("tat ca "), "bad", F.lit(" trang deu loi: "), "_first")))
-        .when(F.col("bad") > 0, F.concat(F.lit("loi o trang "), "_list", F.lit(
-            " (cac trang khac da xong)"))).alias("message"))
+            fill(ALL_BAD, F.col("bad").cast("string")), "_first")))
+        .when(F.col("bad") > 0, fill(SOME_BAD, F.col("_list"))).alias("message"))
 
 
 def inventory(files: DataFrame, annotations: DataFrame, pages: DataFrame) -> DataFrame:
