@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, quality, toxicity
+from . import bpe, decontaminate, language, minhash, quality, secrets, toxicity, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -39,6 +39,23 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, model, keep=("held_out",))
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, folder, "documents")))
+
+
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"))
+
+
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")) \
+        .drop("spans")
+
+
+def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), vocabulary(), digest=True)
 
@@ -58,4 +75,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_secrets": secrets.oracle(), "op8_minhash": minhash.SQL}
