@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, minhash, quality, secrets, toxicity, urls
+from . import bpe, credentials, decontaminate, language, lattice, minhash, quality, toxicity, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -31,6 +31,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, chain, keep=("held_out",))
 
 
+def op2_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held = language.held_out(F.col("doc_id"), 3, 1)
@@ -40,7 +44,7 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.digest(secrets.scan(table(spark, folder, "documents")))
+    return credentials.digest(credentials.scan(table(spark, folder, "documents")))
 
 
 def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,4 +79,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_secrets": secrets.oracle(), "op8_minhash": minhash.SQL}
+    return {"op2_lattice": lattice.SQL, "op4_secrets": credentials.oracle(), "op8_minhash": minhash.SQL}
