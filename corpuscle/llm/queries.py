@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, decontaminate, language, lattice, minhash, quality, toxicity, urls
+from . import bpe, credentials, decontaminate, html_template, language, lattice, minhash, quality, toxicity, urls
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -51,6 +51,10 @@ def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
 
 
+def op6_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_template.extract(table(spark, folder, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")) \
         .drop("spans")
