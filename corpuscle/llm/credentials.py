@@ -50,13 +50,15 @@ def _hits(text: Column, kind: int) -> Column:
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
-               repo: str | None = None) -> DataFrame:
-    """One row per input row: ``row`` (its number), ``key``, ``owner``, ``repo`` and ``hits``."""
+               repo: str | None = None, carry: dict[str, str] | None = None) -> DataFrame:
+    """One row per input row: ``row`` (its number), ``key``, ``owner``, ``repo``, ``hits`` and
+    the columns named in ``carry`` (name here -> name there)."""
     whole = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
         F.col(owner).cast("string").alias("owner"), F.col(repo or key).cast("string").alias("repo"),
-        F.concat(*[_hits(whole, k) for k in range(len(KINDS))]).alias("hits"))
+        F.concat(*[_hits(whole, k) for k in range(len(KINDS))]).alias("hits"),
+        *[F.col(there).alias(here) for here, there in (carry or {}).items()])
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -71,16 +73,8 @@ def ownership(found: DataFrame) -> DataFrame:
     return per_owner.groupBy("value").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
-         repo: str | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """One row per input row: ``key``, ``found`` and the counts of examples and live values.
-
-    ``found`` is an array of (start, kind number, stop, kind, n_owners, n_repos, live) in
-    order of start and kind; mixed tokens are in it only when a single owner holds them.
-    A null text has none.  Repeated rows, equal keys and null keys keep their own rows.
-    """
-    # The row numbers must stay the same for all readers, and the texts are read once.
-    rows = cut_lineage(candidates(docs, key, text, owner, repo))
+def judged(rows: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+    """``row`` and ``found`` of the rows with a secret, from written ``candidates``."""
     single = rows.where(F.size("hits") > 0).select("row", "owner", "repo", F.inline("hits"))
     order = Window.partitionBy("row", "kind").orderBy("pos")
     placed = single.withColumn("stop", F.sum(F.col("gap") + F.col("size")).over(order)) \
@@ -88,18 +82,56 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
         .select("row", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop", "value")
     counts = ownership(single.where(F.col("value").isNotNull()))
     names = F.array(*[F.lit(k[0]) for k in KINDS])
-    judged = placed.join(counts, "value") \
+    hits = placed.join(counts, "value") \
         .where((F.col("kind") < len(BASE)) | (F.col("n_owners") == 1)) \
         .select("row", F.struct(
             "start", F.col("kind").alias("kind_no"), "stop", F.element_at(names, F.col("kind") + 1).alias("kind"),
             "n_owners", "n_repos", (F.col("n_owners") < example_owners).alias("live")).alias("hit"))
-    found = judged.groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("found"))
+    return hits.groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("found"))
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
+         repo: str | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+    """One row per input row: ``key`` and ``found``.
+
+    ``found`` is an array of (start, kind number, stop, kind, n_owners, n_repos, live) in
+    order of start and kind; mixed tokens are in it only when a single owner holds them.
+    A null text has none.  Repeated rows, equal keys and null keys keep their own rows.
+    """
+    # The row numbers must stay the same for all readers, and the texts are read once.
+    rows = cut_lineage(candidates(docs, key, text, owner, repo))
     empty = F.expr("CAST(array() AS array<struct<start:bigint,kind_no:int,stop:bigint,kind:string,"
                    "n_owners:bigint,n_repos:bigint,live:boolean>>)")
-    return rows.select("row", "key").join(found, "row", "left") \
+    return rows.select("row", "key").join(judged(rows, example_owners), "row", "left") \
         .select(F.col("key").alias(key), F.coalesce("found", empty).alias("found"))
 
 
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
+           repo: str | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """The input rows and columns with every found span of the text replaced by ``mark``.
+
+    Overlapping spans become one mark.  Null texts and texts without a secret stay as
+    they are.  Only the rows with candidates are shuffled.
+    """
+    carry = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    own = next(here for here, there in carry.items() if there.lower() == text.lower())
+    rows = cut_lineage(candidates(docs, key, text, owner, repo, carry))
+    plain = rows.where(F.size("hits") == 0)
+    marked = rows.where(F.size("hits") > 0).join(judged(rows), "row", "left")
+
+    def step(done: Column, hit: Column) -> Column:
+        gap = F.substring(F.col(own), done["at"] + 1, hit["start"].cast("int") - done["at"])
+        return F.when(hit["start"] >= done["at"], F.struct(
+            hit["stop"].cast("int").alias("at"), F.concat(done["out"], gap, F.lit(mark)).alias("out"))) \
+            .otherwise(F.struct(F.greatest(done["at"], hit["stop"].cast("int")).alias("at"), done["out"].alias("out")))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    new = F.aggregate("found", start, step, lambda done: F.concat(
+        done["out"], F.substring(F.col(own), done["at"] + 1, F.length(F.col(own)))))
+    marked = marked.withColumn(own, F.when(F.col("found").isNull(), F.col(own)).otherwise(new))
+    return plain.select(*carry).union(marked.select(*carry)).toDF(*docs.columns)
+
+
 def digest(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts by kind, the hash of the base spans and all spans as text."""
     def spans(hits: Column) -> Column:

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,7 +146,7 @@ class Items:
         return found
 
 
-def blocks(items: DataFrame, key: str, text: str, block_chars: int) -> list[list[tuple]]:
+def blocks(items: DataFrame, key: str, text: str, block_chars: int) -> Iterator[list[tuple]]:
     """The test items in blocks of bounded size, one at a time to the driver.
 
     Items are put into as many hash parts as their characters need; each part is
@@ -196,3 +197,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         found = found.unionByName(one) if n else one
     return found.select(F.col("doc").alias(key), F.col("item").alias(item_key), "coverage", "n_tiles",
                         "spans", F.lit(True).alias("contaminated"))
+
+
+def remove_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
+                 item_text: str = "text", least: int = LEAST, coverage: float = COVERAGE,
+                 block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text covers no test item enough.
+
+    Rows are filtered where they are: nothing is shuffled, whatever their keys.
+    """
+    spark = docs.sparkSession
+    at = [c.lower() for c in docs.columns].index(text.lower())
+    for block in blocks(items, item_key, item_text, block_chars):
+        shared = spark.sparkContext.broadcast(block)      # at most about block_chars characters
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            held, number = Items(shared.value, least), Numbers()
+            for batch in batches:
+                clean = [not held.covered(number(words(t.as_py())), coverage) for t in batch.column(at)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
