@@ -8,15 +8,17 @@ small the set.  Equal coordinates estimate the Jaccard similarity as in plain Mi
 with bounds on the spread, at a cost of a few hashes per shingle.
 
 Documents with one and the same set are one class.  Class representatives meet in the
-buckets of ``BINS / ROWS`` bands.  A bucket first links everybody to its smallest
-member; only what is then still in another component than that member is compared
-with the whole bucket.  Every link is confirmed on the full sets.
+buckets of ``BANDS`` bands of ``ROWS`` coordinates.  A bucket first links everybody to
+its smallest member; only what is then still in another component than that member is
+held against the whole bucket, by the bits of all coordinates and in the first band
+that a pair shares.  Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -27,9 +29,13 @@ from .graph import components
 from .rows import map_slices
 
 SHINGLE = 5
-BINS, ROWS = 192, 4          # 48 bands; a pair at 0.75 is missed with chance 1e-8
+BINS = 512
+BANDS, ROWS = 48, 4          # a pair at 0.75 is missed with chance 1e-8
 SIMILARITY = (75, 100)       # link when 100 * intersection >= 75 * union
-BITS_NEEDED = 140            # of 192 sketch bits; a pair at 0.75 shares 168 on average, spread 4.6
+PLANES, WORDS = 4, BINS // 64    # bits kept of every coordinate, longs per bit
+# Coordinates whose first bit (all bits) must agree.  At 0.75 it is 448 on average with a
+# spread of 7.5 (392 with 9.6): six (five) spreads below are allowed.
+AGREE_ONE, AGREE_ALL = 403, 344
 ROUND_BITS = np.uint64(48)
 LOW = np.uint64((1 << 48) - 1)
 
@@ -96,8 +102,10 @@ def bands(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def bits(values: np.ndarray) -> np.ndarray:
-    """One bit of every coordinate, packed into longs."""
-    return np.packbits((_mix(values) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    """``PLANES`` bits of every coordinate: the first bits of all, then the second bits."""
+    mixed = _mix(values)
+    planes = [np.packbits(((mixed >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(PLANES)]
+    return np.concatenate(planes).view(np.int64)
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -113,7 +121,7 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 return 0, None, None, None
             values = sketch(found)
             mark = hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest()
-            return len(found), mark, bands(values), bits(values)
+            return len(found), mark, bands(values[:BANDS * ROWS]), bits(values)
 
         def work(part: dict) -> dict:
             done = [one(t) for t in part["t"]]
@@ -125,12 +133,23 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                       f"id {kind}, n BIGINT, print STRING, bands ARRAY<BIGINT>, bits ARRAY<BIGINT>")
 
 
-def _likely(a_bits: Column, b_bits: Column, a_n: Column, b_n: Column) -> Column:
-    """Sizes allow a link and enough sketch bits agree."""
-    same = sum((F.bit_count(F.element_at(a_bits, i + 1).bitwiseXOR(F.element_at(b_bits, i + 1)))
-                for i in range(BINS // 64)), F.lit(0))
+def _likely(a_bits: Column, b_bits: Column, a_n: Column, b_n: Column, planes: int) -> Column:
+    """Sizes allow a link and enough coordinates agree in their first ``planes`` bits."""
+    def differ(word: int) -> Column:
+        parts = [F.element_at(a_bits, i).bitwiseXOR(F.element_at(b_bits, i))
+                 for i in range(word + 1, planes * WORDS + 1, WORDS)]
+        return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), parts))
+
+    apart = reduce(lambda x, y: x + y, [differ(w) for w in range(WORDS)])
     small, large = F.least(a_n, b_n), F.greatest(a_n, b_n)
-    return (small * SIMILARITY[1] >= large * SIMILARITY[0]) & (BINS - same >= BITS_NEEDED)
+    return (small * SIMILARITY[1] >= large * SIMILARITY[0]) \
+        & (BINS - apart >= (AGREE_ONE if planes == 1 else AGREE_ALL))
+
+
+def _first_shared(a: Column, b: Column, bucket: Column) -> Column:
+    """Is this bucket the first band that both have?"""
+    shared = F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    return F.element_at(shared, 1) == bucket
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -175,7 +194,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = cut_lineage(linkable.groupBy("print").agg(F.min("id").alias("rep")))
     own = linkable.join(reps.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi") \
         .dropDuplicates(["id", "print"])
-    spread = own.select("id", "n", "bits", F.explode("bands").alias("bucket"))
+    own = cut_lineage(own.select("id", "n", "bands", "bits"))
+    spread = own.select("id", "n", F.slice("bits", 1, WORDS).alias("bits"), F.explode("bands").alias("bucket"))
     # Buckets with more than one member.
     crowd = spread.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("most")) \
         .where("lead < most").select("bucket", "lead")
@@ -186,7 +206,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # First, one likely leader per document.
     leads = rows.where("id = lead").select(F.col("lead"), F.col("n").alias("ln"), F.col("bits").alias("lb")).distinct()
     star = rows.where("id > lead").select("id", "n", "bits", "lead").distinct().join(leads, "lead") \
-        .where(_likely(F.col("bits"), F.col("lb"), F.col("n"), F.col("ln"))) \
+        .where(_likely(F.col("bits"), F.col("lb"), F.col("n"), F.col("ln"), 1)) \
         .groupBy("id").agg(F.min("lead").alias("b")).select(F.col("id").alias("a"), "b")
     links = cut_lineage(verified(star, texts))
     found = cut_lineage(components(links))
@@ -194,12 +214,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     there = rows.join(found.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left") \
         .withColumn("c", F.coalesce("c", "id"))
     heads = there.where("id = lead").select("bucket", F.col("c").alias("lc"))
-    there = cut_lineage(there.join(heads, "bucket").select("bucket", "id", "n", "bits", "c", "lc"))
-    apart = there.where("c <> lc").select("bucket", *[F.col(x).alias(f"m_{x}") for x in ("id", "n", "bits", "c")])
+    there = cut_lineage(there.join(heads, "bucket").select("bucket", "id", "c", "lc"))
+    mixed = there.where("c <> lc").select("bucket").distinct()
+    wide = cut_lineage(there.join(mixed, "bucket", "left_semi").join(own, "id"))
+    apart = wide.where("c <> lc").select("bucket", *[F.col(x).alias(f"m_{x}") for x in ("id", "n", "bands", "bits", "c")])
     if not apart.isEmpty():
-        rest = apart.join(there.join(apart.select("bucket").distinct(), "bucket", "left_semi"), "bucket") \
-            .where((F.col("m_c") != F.col("c")) & ((F.col("c") == F.col("lc")) | (F.col("m_id") < F.col("id")))
-                   & _likely(F.col("m_bits"), F.col("bits"), F.col("m_n"), F.col("n"))) \
+        rest = apart.join(wide, "bucket").where(
+            (F.col("m_c") != F.col("c")) & ((F.col("c") == F.col("lc")) | (F.col("m_id") < F.col("id")))
+            & _likely(F.col("m_bits"), F.col("bits"), F.col("m_n"), F.col("n"), 1)
+            & _likely(F.col("m_bits"), F.col("bits"), F.col("m_n"), F.col("n"), PLANES)
+            & _first_shared(F.col("m_bands"), F.col("bands"), F.col("bucket"))) \
             .select(F.greatest("m_id", "id").alias("a"), F.least("m_id", "id").alias("b")).distinct()
         more = cut_lineage(verified(rest, texts))
         if not more.isEmpty():
