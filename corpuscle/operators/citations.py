@@ -27,6 +27,7 @@ class Grammar:
     document: str = legal.DOCUMENT_PATTERN
     article: str = legal.ARTICLE_PATTERN      # groups: point, clause, article
     full: str = legal.FULL_PATTERN
+    part: str = legal.CITED_PART              # an article as whole references write it
     number: str = legal.NUMBER
     basis_marker: str = legal.BASIS_MARKER
     basis_reach: int = 80
@@ -166,7 +167,7 @@ def best_reference(records: DataFrame, key: str, text: str,
                            F.col("m.stop").alias("stop"), rank.alias("rank"))
 
     full = ranked(grammar.full).groupBy(key).agg(F.min_by("cited", "rank").alias("full"))
-    article = ranked(grammar.article).groupBy(key).agg(
+    article = ranked(grammar.part).groupBy(key).agg(
         F.min_by(F.struct("cited", "start", "stop"), "rank").alias("a"))
     article = article.select(key, F.col("a.cited").alias("cited"), F.col("a.start").alias("start"),
                              F.col("a.stop").alias("stop"))

@@ -30,18 +30,15 @@ class NameRules:
     trailing: tuple[str, ...] = tuple(legal.TRAILING_WORDS)
     flags: str = "(?U)"
 
-    def cuts(self) -> list[str]:
-        """Patterns in order; the name ends where one matches."""
-        one = legal.one_of
-        kinds, clauses = one(list(self.types)), one(list(self.clauses))
-        return [
-            rf"\s+{one(list(self.join_types))}\s+{kinds}\b",
-            rf"\s*,\s*{kinds}\b",
-            rf"\s+{one(list(self.join_clauses))}\s+{clauses}\b",
-            rf"\s*,\s*{clauses}\b",
-            rf"\s+{one(list(self.phrases))}\b",
-            rf"\s+{one(list(self.prepositions))}\s+{one([*self.places, kinds])}\b",
-        ]
+    def ends(self) -> str:
+        """What ends a name, whichever comes first: a link word or comma with another document or a
+        clause behind it, a preposition with a place or document behind it, a phrase."""
+        kinds, clauses, places = list(self.types), list(self.clauses), list(self.places)
+        table = [(list(self.join_types), kinds), (list(self.join_clauses), clauses),
+                 (list(self.prepositions), places + kinds), ([","], kinds + clauses)]
+        pairs = [rf"{r'\s*' if openers == [','] else r'\s+'}{legal.one_of(openers)}\s{'*' if openers == [','] else '+'}"
+                 rf"{legal.one_of(behind)}" for openers, behind in table]
+        return rf"(?:{legal.one_of([*pairs, rf'\s+{legal.one_of(list(self.phrases))}'])}\b|\s*\))"
 
     def trailing_pattern(self) -> str:
         """Function words and punctuation at the end, in one pass."""
@@ -53,9 +50,7 @@ def clean_name(name: Column, rules: NameRules = NameRules()) -> Column:
     original = strip(text_or_empty(name))
     text = F.regexp_replace(original, rf"{rules.flags}\s*\([^)]*\)", "")
     text = F.regexp_replace(text, rf"{rules.flags}(?s)\s*\([^)]*$", "")
-    text = cut_from(text, rf"{rules.flags}\s*\)")
-    for pattern in rules.cuts():
-        text = cut_from(text, rules.flags + pattern)
+    text = cut_from(text, rules.flags + rules.ends())
     text = strip(F.regexp_replace(text, rules.trailing_pattern(), ""))
     return F.coalesce(empty_to_null(text), original)
 

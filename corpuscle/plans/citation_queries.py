@@ -20,7 +20,7 @@ FULL = f"(?:(?:a|ein|un|una) )?(?:(?:to|und|et|y) )?(?:of|von|de) {DOC}"
 NUM = f"[{LETTERS}]*tion[{LETTERS}]*"
 BASIS = "(?:And|Und|Et|Los)"
 
-GRAMMAR = C.Grammar(document=DOC, article=ART, full=FULL, number=NUM, basis_marker=BASIS,
+GRAMMAR = C.Grammar(document=DOC, article=ART, full=FULL, part=ART, number=NUM, basis_marker=BASIS,
                     specific_words=("to ", "a "), conjunctions=("and", "ent"))
 
 LINES = f"base AS (SELECT doc_id, {line('text')} AS t FROM documents)"

@@ -195,7 +195,7 @@ WITH RECURSIVE e AS (SELECT DISTINCT concat('o', l_orderkey) AS src, concat('s',
       FROM lineitem
     UNION SELECT DISTINCT concat('s', l_suppkey), concat('o', l_orderkey) FROM lineitem),
 r AS (SELECT 's7' AS node, 0 AS depth UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.node
-      WHERE r.depth < 3 AND NOT ends_with(e.dst, '13'))
+      WHERE r.depth < 12 AND NOT ends_with(e.dst, '13'))
 SELECT node, min(depth) AS depth FROM r GROUP BY 1""")
 def link_frontier(t: Tables):
     rows = t.lineitem.select(
@@ -204,4 +204,4 @@ def link_frontier(t: Tables):
         rows.select(F.col("s").alias("src"), F.col("o").alias("dst")))
     seeds = t.supplier.where("s_suppkey = 7").select(
         F.concat(F.lit("s"), "s_suppkey").alias("node"))
-    return P.frontier(edges, seeds, 3, ~F.endswith("node", F.lit("13")))
+    return P.frontier(edges, seeds, ~F.endswith("node", F.lit("13")))

@@ -204,3 +204,28 @@ def test_canonical_names(spark):
 def test_last_duplicate_wins(rows):
     df = rows([("a", 1, 0), ("a", 2, 1)], "name STRING, v INT, position INT")
     assert values(V.last_wins(df, "name", "position")) == [("a", 2)]
+
+
+def test_status_table_with_colliding_names(spark, rows):
+    status = rows([("43/2014/NĐ-CP", "con", "a", 1), ("43/2014/AA", "het", "b", 2),
+                   ("Luật A", "con", "c", 3), ("LUẬT A", "het", "d", 4)],
+                  "name STRING, status STRING, note STRING, position INT")
+    cut = rows([], "name STRING, cutoff STRING, after STRING, before STRING, note STRING")
+    years = rows([], "name STRING, years ARRAY<STRING>")
+    asked = rows([(1, "43/2014", ""), (2, "luật a", "")], "id INT, name STRING, iso STRING")
+    got = V.resolve_status(asked, "name", "iso", status, cut, years)
+    assert values(got, "id", "status", "note") == [(1, "het", "b"), (2, "het", "d")]
+
+
+def test_lower_case_article_is_no_reference(rows):
+    df = rows([(1, "theo điều 5 thì được, xem Luật Đất đai 2024.")], "id INT, t STRING")
+    assert values(C.best_reference(df, "id", "t")) == [(1, "")]
+
+
+def test_names_word_by_word(rows):
+    text = ("Luật Trật tự, an toàn giao thông đường bộ 2024 và Bộ luật Dân sự số 91/2015/QH13, Pháp lệnh Ưu đãi "
+            "người có công quy định; Hiến pháp năm 2013, luật sư, Nghị định 100/2019/NĐ-CP.")
+    got = C.document_mentions(rows([(1, text)], "id INT, t STRING"), "id", "t")
+    assert [r["document"] for r in got.orderBy("start").collect()] == [
+        "Luật Trật tự, an toàn giao thông đường bộ 2024", "Bộ luật Dân sự số 91/2015/QH13",
+        "Pháp lệnh Ưu đãi người có công", "Hiến pháp năm 2013", "Nghị định 100/2019/NĐ-CP"]

@@ -65,7 +65,7 @@ def test_trim_cut_bylines(spark):
         "Gửi câu hỏi tới", "thắc mắc", "Trả lời: nội dung", "Xem thêm: x", "còn",
         "Trên đây là nội dung tư vấn", "đuôi")])
     row = spark.range(1).select(
-        P.answer_lines(P.trim_head(lines, P.QUESTION_INTRO)).alias("a"),
+        P.answer_lines(P.trim_head(lines, P.introduces_question)).alias("a"),
         P.is_byline(F.lit("NGUYỄN VĂN A")).alias("b"), P.is_byline(F.lit("1/2/2024 09:30")).alias("c"),
         P.is_byline(F.lit("Nguyễn")).alias("d"),
         P.tidy(F.lit("Luật 2024 , cụ thể (Hình từ Internet)\n\n\n\nhết ")).alias("t")).first()
@@ -88,9 +88,9 @@ def test_marker_slice(spark):
 def test_frontier(rows):
     edges = rows([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("b", "skip")],
                  "src STRING, dst STRING")
-    got = P.frontier(edges, rows([("a",)], "node STRING"), 5, F.col("node") != "skip")
+    got = P.frontier(edges, rows([("a",)], "node STRING"), F.col("node") != "skip")
     assert values(got) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
-    assert P.frontier(edges, rows([("a",)], "node STRING"), 5, cap=2).count() == 2
+    assert P.frontier(edges, rows([("a",)], "node STRING"), cap=2).count() == 2
 
 
 ANSWER = "Theo Điều 5 Luật Đất đai, người dân được cấp sổ đỏ. Thời hạn là 30 ngày làm việc."
