@@ -81,22 +81,27 @@ def resolve_status(rows: DataFrame, name: str, date_iso: str, status: DataFrame,
     against its cutoff date; dated name against the years still valid; else
     unknown.  The three tables are small configuration (status(name, status,
     note), cutoffs(name, cutoff, after, before, note), valid_years(name,
-    years)); the names are lower-cased here and every table is keyed uniquely,
-    so each join keeps the row count.
+    years)), each with an optional ``position``.  Names are lower-cased here, and
+    of equal names, also of equal names without suffix, the row with the last
+    position counts (without positions the largest name), so each join keeps the
+    row count.
     """
+    def unique(table: DataFrame, keyed: Column, value: Column, as_key: str, as_value: str) -> DataFrame:
+        place = F.col("position") if "position" in table.columns else F.lit(0)
+        return table.groupBy(keyed.alias(as_key)).agg(
+            F.max_by(value, F.struct(place, F.col("name"))).alias(as_value))
+
     lowered = F.lower(F.col(name))
     year = F.regexp_extract(F.col(name), _YEAR, 1)
     base = F.lower(F.regexp_replace(F.col(name), r"\s+\d{4}$", ""))
     work = rows.withColumns({"_n": lowered, "_y": year, "_b": F.when(year == "", lowered)
                              .otherwise(base)})
-    exact = status.select(F.lower("name").alias("_n"), F.struct("status", "note").alias("_exact"))
-    bare = (status.where(F.contains("name", F.lit("/")))
-            .select(F.lower(F.regexp_replace("name", _SUFFIX, "")).alias("_n"),
-                    F.struct("status", "note").alias("_bare"), F.col("name").alias("_o"))
-            .groupBy("_n").agg(F.max_by("_bare", "_o").alias("_bare")))
-    cut = cutoffs.select(F.lower("name").alias("_b"),
-                         F.struct("cutoff", "after", "before", "note").alias("_cut"))
-    years = valid_years.select(F.lower("name").alias("_b"), F.col("years").alias("_years"))
+    verdicts = F.struct("status", "note")
+    exact = unique(status, F.lower("name"), verdicts, "_n", "_exact")
+    bare = unique(status.where(F.contains("name", F.lit("/"))),
+                  F.lower(F.regexp_replace("name", _SUFFIX, "")), verdicts, "_n", "_bare")
+    cut = unique(cutoffs, F.lower("name"), F.struct("cutoff", "after", "before", "note"), "_b", "_cut")
+    years = unique(valid_years, F.lower("name"), F.col("years"), "_b", "_years")
     joined = (work.join(exact, "_n", "left").join(bare, "_n", "left")
               .join(cut, "_b", "left").join(years, "_b", "left"))
 

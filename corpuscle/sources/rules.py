@@ -1,8 +1,8 @@
-"""Rule tables from CSV files with a header; a repeated key counts with its last row.
+"""Rule tables from CSV files with a header; a repeated key counts with its largest position.
 
-    status.csv    name,status,note
-    cutoffs.csv   name,cutoff,after,before,note
-    years.csv     name,years            (years separated by spaces)
+    status.csv    position,name,status,note
+    cutoffs.csv   position,name,cutoff,after,before,note
+    years.csv     position,name,years            (years separated by spaces)
     topics.csv    topic,priority,kind,term   (kind: keyword or document)
     sources.csv   source,code,name,site
 """
@@ -18,8 +18,11 @@ from corpuscle.sources.readers import read_text_table
 
 
 def read_rules(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """One row per key, the last one of the file (one small file, read in order)."""
-    rows = read_text_table(spark, path).withColumn("_position", F.monotonically_increasing_id())
+    """One row per key, the one with the largest number in the column ``position``.
+
+    The order of rows is part of the data: files may be several and are read in any order.
+    """
+    rows = read_text_table(spark, path).withColumn("_position", F.col("position").cast("long")).drop("position")
     return last_wins(rows, key, "_position")
 
 

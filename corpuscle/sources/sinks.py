@@ -92,10 +92,13 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def write_version(df: DataFrame, root: str) -> int:
-    """Write the next version; readers see it once it is committed."""
+    """Write the next version; readers see it once it is committed.
+
+    Of two writers that take the same number, the later one fails.
+    """
     versions = _versions(df.sparkSession, root)
     number = (versions[-1] if versions else 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/v{number:06d}")
+    df.write.mode("errorifexists").parquet(f"{root}/v{number:06d}")
     return number
 
 

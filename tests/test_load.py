@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -143,10 +144,10 @@ def test_ocr_pages(spark, tmp_path):
 
 
 def test_rules_from_csv(spark, tmp_path):
-    (tmp_path / "s.csv").write_text('name,status,note\nA,con,x\nB,het,\nA,het,"y, z"\n')
+    (tmp_path / "s.csv").write_text('position,name,status,note\n2,A,het,"y, z"\n3,B,het,\n1,A,con,x\n')
     assert values(rules.read_status(spark, str(tmp_path / "s.csv"))) == [
         ("A", "het", "y, z"), ("B", "het", "")]
-    (tmp_path / "y.csv").write_text("name,years\na,2015 2017\nb,\n")
+    (tmp_path / "y.csv").write_text("position,name,years\n1,a,2015 2017\n2,b,\n")
     assert values(rules.read_valid_years(spark, str(tmp_path / "y.csv"))) == [
         ("a", ["2015", "2017"]), ("b", [])]
     (tmp_path / "t.csv").write_text("topic,priority,kind,term\nB,2,keyword,x\nA,1,document,y\n")
@@ -160,3 +161,11 @@ def test_versions(spark, tmp_path):
     assert sinks.write_version(sinks.read_version(spark, root).where("id > 0"), root) == 2
     assert sinks.read_version(spark, root).count() == 2
     assert sinks.read_version(spark, root, 1).count() == 3
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    sinks.write_version(spark.range(3), root)
+    monkeypatch.setattr(sinks, "_versions", lambda *_: [])       # it looked before the first one was done
+    with pytest.raises(Exception, match="(?i)already exists"):
+        sinks.write_version(spark.range(5), root)
