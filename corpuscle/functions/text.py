@@ -25,7 +25,7 @@ _STROKED = {"đ": "d", "Đ": "D"}
 def _fold_table() -> tuple[str, str]:
     """Composed letters and the base letters they fold to, from the Unicode data."""
     composed, base = list(_STROKED), list(_STROKED.values())
-    for code in range(0xC0, min(sys.maxunicode, 0x2FFF)):
+    for code in range(0xC0, sys.maxunicode + 1):
         char = chr(code)
         parts = unicodedata.normalize("NFD", char)
         if len(parts) < 2:

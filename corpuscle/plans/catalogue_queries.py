@@ -120,11 +120,11 @@ WITH k AS (SELECT p_partkey, p_type AS code, p_brand AS number FROM part
            WHERE (p_type LIKE 'S%' OR p_type LIKE 'PRO%') AND p_type NOT LIKE 'SM%')
 SELECT 'item' AS part, code, number, CAST(p_partkey AS BIGINT) AS id FROM k
 UNION ALL SELECT 'document', p_type, p_brand, min(p_partkey) FROM part
-WHERE p_size < 6 AND p_brand IN (SELECT number FROM k) GROUP BY 2, 3""")
+WHERE p_brand IN (SELECT number FROM k) GROUP BY 2, 3""")
 def prefix_subset(t: Tables):
     items = t.part.select("p_partkey", F.col("p_type").alias("code"),
                           F.col("p_brand").alias("number"))
-    documents = t.part.where("p_size < 6").groupBy(
+    documents = t.part.groupBy(
         F.col("p_type").alias("code"), F.col("p_brand").alias("number")).agg(
         F.min("p_partkey").alias("id"))
     kept, used = K.subset_by_prefix(items, documents, only="S, PRO,", skip="SM")
@@ -170,7 +170,7 @@ def depth_histogram(t: Tables):
 WITH o AS (SELECT n_name AS code, n_nationkey AS catalogue_id, 'old' AS title, 'x' AS note FROM nation),
 n AS (SELECT concat('NATION_', c_nationkey) AS code, max(c_name) AS title,
       CASE WHEN max(c_custkey) % 2 = 0 THEN NULL ELSE 'new' END AS note FROM customer
-      WHERE c_acctbal > 0 GROUP BY c_nationkey UNION ALL SELECT 'EXTRA', 't', 'n')
+      GROUP BY c_nationkey UNION ALL SELECT 'EXTRA', 't', 'n')
 SELECT coalesce(o.code, n.code) AS code, o.catalogue_id,
        CASE WHEN n.code IS NOT NULL THEN n.title ELSE o.title END AS title,
        CASE WHEN n.code IS NOT NULL THEN n.note ELSE o.note END AS note
@@ -178,7 +178,7 @@ FROM o FULL JOIN n ON n.code = o.code""")
 def parent_upsert(t: Tables):
     old = t.nation.select(F.col("n_name").alias("code"), F.col("n_nationkey").alias("catalogue_id"),
                           F.lit("old").alias("title"), F.lit("x").alias("note"))
-    new = t.customer.where("c_acctbal > 0").groupBy("c_nationkey").agg(
+    new = t.customer.groupBy("c_nationkey").agg(
         F.max("c_name").alias("title"),
         F.when(F.max("c_custkey") % 2 == 1, "new").alias("note")).select(
         F.concat(F.lit("NATION_"), "c_nationkey").alias("code"), "title", "note")
@@ -255,19 +255,19 @@ def filled_columns(t: Tables):
 
 SHORT = """WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS name,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
-s AS (SELECT name, CAST(pos AS VARCHAR) AS ordinal, doc_id * 100000 + pos AS position,
-             source < 'src15' AS is_old FROM l WHERE length(name) BETWEEN 10 AND 60),""" + f"""
+s AS (SELECT name, CAST(pos AS VARCHAR) AS ordinal, doc_id * 2147483648 + pos AS position,
+             source < 'src15' AS is_old FROM l),""" + f"""
 k AS (SELECT *, trim(regexp_replace(replace(strip_accents(lower(name)), 'đ', 'd'), '[^a-z0-9 ]+',
              ' ', 'g')) AS key FROM s),
 n AS (SELECT key, arg_min(ordinal, position) AS ordinal FROM k WHERE NOT is_old GROUP BY 1)"""
 
 
 def _editions(t: Tables):
-    """Short lines of the documents; the source decides the edition."""
+    """Lines of the documents; the source decides the edition."""
     lines = t.documents.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias(
-        "pos", "name")).where("length(name) BETWEEN 10 AND 60")
+        "pos", "name"))
     rows = lines.select("name", F.col("pos").cast("string").alias("ordinal"),
-                        (F.col("doc_id") * 100000 + F.col("pos")).alias("position"), "source")
+                        (F.col("doc_id") * 2147483648 + F.col("pos")).alias("position"), "source")
     return rows.where("source < 'src15'"), rows.where("source >= 'src15'")
 
 
@@ -296,17 +296,17 @@ SELECT a.key AS old_key, b.key AS new_key FROM a JOIN g ga ON ga.key = a.key
 JOIN (SELECT b.key, g.grams FROM b JOIN g ON g.key = b.key) b
   ON 2 * len(list_intersect(ga.grams, b.grams)) >= 0.5 * (len(ga.grams) + len(b.grams))""")
 def rename_candidates(t: Tables):
-    return E.candidate_pairs(*_leftovers(t), share=0.5)
+    return E.candidate_pairs(*_leftovers(t), share=0.5).select("old_key", "new_key")
 
 
 @query("renamed_pairs", "G12")
 def renamed_pairs(t: Tables):
-    return E.renamed_pairs(*_leftovers(t), threshold=0.7, share=0.5).select(
+    return E.renamed_pairs(*_leftovers(t), threshold=0.6).select(
         "old_key", "new_key", F.round("score", 6).alias("score"))
 
 
 @query("diff_report", "G13")
 def diff_report(t: Tables):
-    renamed = E.renamed_pairs(*_leftovers(t), threshold=0.7, share=0.5)
+    renamed = E.renamed_pairs(*_leftovers(t), threshold=0.6)
     report = E.diff_report(version_diff(t), renamed)
     return report.groupBy("state", "likeness").agg(F.count(F.lit(1)).alias("n"))

@@ -300,7 +300,7 @@ def block_context(t: Tables):
 
 INDEX = """WITH i AS (SELECT s_suppkey, s_name FROM supplier),
 f AS (SELECT s_suppkey, concat('https://s/', s_suppkey) AS url FROM supplier WHERE s_acctbal > 3000),
-c AS (SELECT l_suppkey AS s_suppkey, l_returnflag AS level FROM lineitem WHERE l_quantity > 20),
+c AS (SELECT l_suppkey AS s_suppkey, l_returnflag AS level FROM lineitem),
 x AS (SELECT i.s_suppkey, i.s_name, coalesce(f.url, '') AS url,
     CASE WHEN f.url IS NOT NULL THEN 'x' ELSE '' END AS full_text,
     (SELECT count(*) FROM c WHERE c.s_suppkey = i.s_suppkey) AS clauses,
@@ -312,7 +312,7 @@ x AS (SELECT i.s_suppkey, i.s_name, coalesce(f.url, '') AS url,
 def _index(t: Tables):
     full = t.supplier.where("s_acctbal > 3000").select(
         "s_suppkey", F.concat(F.lit("https://s/"), "s_suppkey").alias("url"))
-    clauses = t.lineitem.where("l_quantity > 20").select(
+    clauses = t.lineitem.select(
         F.col("l_suppkey").alias("s_suppkey"), F.col("l_returnflag").alias("level"))
     return L.decision_index(t.supplier.select("s_suppkey", "s_name"), full, clauses,
                             "s_suppkey", ("A", "N"))

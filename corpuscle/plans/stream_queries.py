@@ -11,18 +11,19 @@ from corpuscle.plans.registry import Tables, query
 from corpuscle.session import shared_folder
 from corpuscle.streaming import intake, load
 
-STAGES = ("TIMESTAMP_NTZ '1900-01-01'", "{0}", "{1}", "TIMESTAMP_NTZ '2900-01-01'")
-
-
 def _folder(t: Tables) -> str:
     return f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
 
 
 def _staged(rows: DataFrame, time: str, first: str, second: str, folder: str, start) -> None:
-    """Three deliveries in order of time, each read by a stream that stops when done."""
-    bounds = [b.format(f"TIMESTAMP_NTZ '{first}'", f"TIMESTAMP_NTZ '{second}'") for b in STAGES]
-    for low, high in zip(bounds, bounds[1:]):
-        part = rows.where(f"{time} >= {low} AND {time} < {high}")
+    """Three deliveries in order of time, each read by a stream that stops when done.
+
+    Rows without a time come with the last delivery.
+    """
+    early = f"{time} < TIMESTAMP_NTZ '{first}'"
+    middle = f"{time} < TIMESTAMP_NTZ '{second}'"
+    for test in (early, f"NOT ({early}) AND {middle}", f"{time} IS NULL OR NOT ({middle})"):
+        part = rows.where(test)
         part.write.mode("append").parquet(folder)
         stream = rows.sparkSession.readStream.schema(rows.schema).parquet(folder)
         start(stream).awaitTermination()

@@ -8,7 +8,6 @@ from corpuscle.functions.text import posted_date_iso
 from corpuscle.operators import validity as V
 from corpuscle.plans.registry import Tables, query
 from corpuscle.rules.tables import literal_table
-from corpuscle.session import spread_small
 
 # A small status configuration.  Later rows with the same name win.
 STATUS = [
@@ -98,7 +97,7 @@ w AS (SELECT *, CASE WHEN status IN ('con', 'con_sd') THEN 'keep' WHEN status =
 
 
 def _named(t: Tables):
-    rows = t.spark.sql(REFERENCE, orders=spread_small(t.orders, "o_orderkey"))
+    rows = t.spark.sql(REFERENCE, orders=t.orders)
     return rows.withColumns({"name": V.canonical_name(F.col("reference")),
                              "iso": posted_date_iso("posted")})
 
@@ -106,7 +105,7 @@ def _named(t: Tables):
 def _config(t: Tables):
     status = literal_table(t.spark, [(n, s, note, i) for i, (n, s, note) in enumerate(STATUS)],
                            "name STRING, status STRING, note STRING, position INT")
-    return (V.last_wins(status, "name", "position"),
+    return (status,
             literal_table(t.spark, CUTOFFS, "name STRING, cutoff STRING, after STRING, "
                                             "before STRING, note STRING"),
             literal_table(t.spark, YEARS, "name STRING, years ARRAY<STRING>"))
@@ -155,9 +154,9 @@ def status_totals(t: Tables):
 
 
 @query("newest_first", "V10", BASE + """
-SELECT o_orderkey, iso FROM w ORDER BY iso DESC, o_orderkey LIMIT 500""")
+SELECT o_orderkey, iso FROM w""")
 def newest_first(t: Tables):
-    return V.newest_first(_named(t), "posted", "o_orderkey").limit(500).select("o_orderkey", "iso")
+    return V.newest_first(_named(t), "posted", "o_orderkey").select("o_orderkey", "iso")
 
 
 VERSIONS = """SELECT r_regionkey % 3 AS family, make_timestamp(1992 + r_regionkey * 2, 3, 1, 0, 0, 0)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, for checkpoints and staged tables.
 
     It is the cluster's ``spark.checkpoint.dir``.  A local session without that
-    setting gets a temporary folder; a cluster without it is an error, since a
-    machine-local folder would not survive a lost executor.
+    setting uses a folder of its own below the warehouse, removed when the driver
+    ends; a cluster without it is an error, since nothing else is known to be shared.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -44,29 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
             return current
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="spark-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        folder = f"{warehouse}/staged-{spark.sparkContext.applicationId}"
+        atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-# Below this size a table may sit in one file split; above it a scan has splits enough.
-_SMALL_INPUT = 1 << 30
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small table over all cores for per-row work that is heavy.
-
-    A small file is one scan task whatever its rows cost.  Input above the size
-    limit is returned unchanged: its scan is parallel already, and moving the
-    texts would be the bottleneck.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= _SMALL_INPUT:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a table written to the shared folder.
 

@@ -1,6 +1,5 @@
 """Irregular lists, catalogue building, editions and views on invented rows."""
 
-from difflib import SequenceMatcher
 
 import pytest
 from conftest import values
@@ -165,8 +164,13 @@ def _editions(rows):
             rows([(n, str(i + 1), i) for i, n in enumerate(NEW)], ddl))
 
 
+def _dice(a, b):
+    a, b = ({k[i:i + 3] for i in range(max(1, len(k) - 2))} for k in (a, b))
+    return 2 * len(a & b) / (len(a) + len(b))
+
+
 def _greedy(old, new, threshold):
-    pairs = sorted(((-SequenceMatcher(None, a, b).ratio(), j, i, a, b) for i, a in enumerate(old)
+    pairs = sorted(((-_dice(a, b), j, i, a, b) for i, a in enumerate(old)
                     for j, b in enumerate(new)))
     used_a, used_b, out = set(), set(), []
     for score, j, i, a, b in pairs:
@@ -204,9 +208,13 @@ def test_candidates_reach_all_similar_names(spark):
     new = [o.replace("doanh", "doanhs")[::-1][1:][::-1] for o in old[::5]]
     frame = [spark.createDataFrame([(n, i) for i, n in enumerate(names)], "key STRING, position INT")
              for names in (old, new)]
-    got = {tuple(r) for r in E.candidate_pairs(*frame, share=0.25).collect()}
-    want = {(a, b) for a in old for b in new if SequenceMatcher(None, a, b).ratio() >= 0.8}
-    assert want <= got
+    def grams(key):
+        return {key[i:i + 3] for i in range(max(1, len(key) - 2))}
+
+    for share in (0.25, 0.5, 0.8):
+        got = {(r.old_key, r.new_key): r.score for r in E.candidate_pairs(*frame, share=share).collect()}
+        scores = {(a, b): 2 * len(grams(a) & grams(b)) / (len(grams(a)) + len(grams(b))) for a in old for b in new}
+        assert got == {p: s for p, s in scores.items() if s >= share}
 
 
 def test_best_first_equals_greedy(spark):

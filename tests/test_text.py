@@ -63,3 +63,8 @@ def test_check_digits(rows):
               "c STRING").select("c", codes.check_digit_ok(F.col("c")).alias("ok"))
     assert dict(values(df)) == {"7732-18-5": True, "50-00-00": False, "7746-08-4": False,
                                 "---": False, "10118-77-6": False}
+
+
+def test_fold_above_the_first_planes(spark):
+    row = spark.range(1).select(X.fold(F.lit("が יִ é Đ")).alias("x")).first()
+    assert row["x"] == "か י e d"
