@@ -172,7 +172,9 @@ def _occurrences(pages: DataFrame) -> DataFrame:
 def _classes(counted: DataFrame, support: float, least_pages: int) -> DataFrame:
     """(host, classes): the token sets that share a vector and are frequent and large enough."""
     sizes = counted.where("token = 0").select("host", F.col("n").alias("pages")).where(F.col("pages") >= least_pages)
-    return counted.where("token <> 0").join(sizes, "host").where(F.col("n") >= support * F.col("pages")) \
+    # Tokens of fewer pages than any template needs, most of all, go before they are brought together.
+    often = counted.where("token <> 0").where(F.col("n") >= support * least_pages)
+    return often.join(sizes, "host").where(F.col("n") >= support * F.col("pages")) \
         .groupBy("host", "mark").agg(F.sort_array(F.collect_list("token")).alias("tokens"), F.max("n").alias("n")) \
         .where(F.size("tokens") >= LEAST_TOKENS) \
         .groupBy("host").agg(F.array_sort(F.collect_list(F.struct(
