@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpuscle.functions.bind import let
 from corpuscle.operators import ocr as O
 from corpuscle.plans.registry import Tables, query
+from corpuscle.session import shared_folder
 from corpuscle.sources import readers
 
 
@@ -16,14 +19,13 @@ SELECT concat('doc ', doc_id) AS file, CAST(pos - 1 AS INT) AS pos, CAST(pos AS
 FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS text,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)""")
 def scanned_pages(t: Tables):
-    """Paragraphs of the documents as pages of a recognition cache in JSON, read back."""
+    """Paragraphs of the documents as pages of recognition caches, written as JSON and read back."""
     pages = F.transform(F.split("text", "\n"), lambda text, i: F.struct(
         (i + 1).alias("page"), text.alias("text"),
         F.when(i % 3 == 2, F.upper("source")).alias("text_gemini")))
-    cache = t.documents.select(F.to_json(F.struct(
-        F.concat(F.lit("doc "), "doc_id").alias("file"), pages.alias("pages"))).alias("value"))
-    files = cache.select(F.from_json("value", readers.OCR_SCHEMA).alias("f")).select("f.*")
-    return readers.ocr_pages(files).select("file", "pos", "page", "text", "text_gemini")
+    folder = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    t.documents.select(F.concat(F.lit("doc "), "doc_id").alias("file"), pages.alias("pages")).write.json(folder)
+    return readers.read_ocr(t.spark, folder, lines=True).select("file", "pos", "page", "text", "text_gemini")
 
 
 LINE_SQL = """list_filter(regexp_split_to_array(text, '\\r\\n|\\n|\\r'), lambda x:

@@ -45,6 +45,23 @@ def stream_intake(t: Tables):
         "url", "event_id", "ts")
 
 
+@query("stream_dedupe", "X1", """
+SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM (
+    SELECT DISTINCT event_id, event_type, ts FROM events) GROUP BY ALL""")
+def stream_dedupe(t: Tables):
+    """Every event delivered twice; the state store drops the repeats within the watermark."""
+    folder = _folder(t)
+    rows = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    rows.unionByName(rows).write.parquet(f"{folder}/in")
+    stream = t.spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    kept = intake.watermark_dedupe(stream, ["event_id"], "ts", "40 days")
+    kept.writeStream.format("parquet").trigger(availableNow=True) \
+        .option("checkpointLocation", f"{folder}/state").start(f"{folder}/out").awaitTermination()
+    done = t.spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    return done.groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 RECORDS = """SELECT o_orderkey, o_orderdate, o_orderpriority AS source,
     CASE WHEN o_custkey % 9 = 0 THEN ' ' ELSE concat('topic ', o_custkey % 4) END AS topic,
     concat('order ', o_custkey % 400) AS title,

@@ -131,16 +131,36 @@ WITH p AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS para,
 SELECT source, concat('doc ', doc_id) AS slug, concat('part ', pos) AS category,
        unnest(string_split(para, '. ')) AS title FROM p""")
 def nested_scan(t: Tables):
-    """Documents as nested JSON (paragraphs, sentences), parsed and exploded back."""
+    """Documents written as nested JSON (paragraphs, sentences), read and exploded back."""
     question = F.transform
     categories = F.transform(F.split("text", "\n"), lambda para, i: F.struct(
         F.concat(F.lit("doc "), F.col("doc_id")).alias("slug"),
         F.concat(F.lit("part "), i).alias("name"),
         question(F.split(para, r"\. "), lambda s: F.struct(s.alias("title"))).alias("questions")))
-    nested = t.documents.select(F.to_json(F.struct(
-        "source", categories.alias("categories"))).alias("value"))
-    parsed = nested.select(F.from_json("value", readers.NESTED_SCHEMA).alias("d")).select("d.*")
-    return readers.explode_nested(parsed).select("source", "slug", "category", "title")
+    folder = _folder(t)
+    t.documents.select("source", categories.alias("categories")).write.json(folder)
+    return readers.read_nested(t.spark, folder, lines=True).select("source", "slug", "category", "title")
+
+
+@query("annotation_files", "S4", """
+SELECT s_name AS file, CAST(s_suppkey % 7 AS INT) AS pages, CAST(s_suppkey % 2 + 1 AS BIGINT) AS letters,
+       concat('nation ', s_nationkey) AS first_name FROM supplier""")
+def annotation_files(t: Tables):
+    """One annotation file per supplier, a list or a single object in it; one more is unreadable."""
+    folder = _folder(t)
+    letter = F.to_json(F.struct(F.concat(F.lit("nation "), "s_nationkey").alias("name")))
+    letters = F.when(F.col("s_suppkey") % 2 == 0, letter).otherwise(
+        F.concat(F.lit("["), letter, F.lit(', {"name": "x"}]')))
+    files = t.supplier.select(F.concat(
+        F.lit('{"file": "'), "s_name", F.lit('", "pages": '), F.col("s_suppkey") % 7,
+        F.lit(', "letters": '), letters, F.lit("}")).alias("value"))
+    broken = t.spark.range(1).select(F.lit('{"file": "half').alias("value"))
+    files.unionByName(broken).write.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
+    rows = readers.read_annotations(
+        t.spark, folder, "file STRING, pages INT, letters ARRAY<STRUCT<name: STRING>>",
+        list_fields=("letters",), pattern="*.txt")
+    return rows.select("file", "pages", F.size("letters").cast("bigint").alias("letters"),
+                       F.col("letters")[0]["name"].alias("first_name"))
 
 
 @query("array_files", "S2", "SELECT conv_id, turn, role, text, NULL::VARCHAR AS extra FROM conversations")

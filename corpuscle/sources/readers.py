@@ -32,9 +32,10 @@ def explode_nested(datasets: DataFrame) -> DataFrame:
 
 
 def read_nested(spark: SparkSession, paths: str | Sequence[str],
-                schema: str | T.StructType = NESTED_SCHEMA) -> DataFrame:
-    """Nested crawl datasets, one object per file, as flat question rows."""
-    return explode_nested(spark.read.schema(schema).json(paths, multiLine=True))
+                schema: str | T.StructType = NESTED_SCHEMA, lines: bool = False) -> DataFrame:
+    """Nested crawl datasets as flat question rows: one object per file, or one per line
+    (``lines``), which large files need to be read in parallel."""
+    return explode_nested(spark.read.schema(schema).json(paths, multiLine=not lines))
 
 
 def read_json_arrays(spark: SparkSession, paths: Sequence[str],
@@ -51,20 +52,25 @@ def read_json_arrays(spark: SparkSession, paths: Sequence[str],
     return arrays.select("r.*")
 
 
-def read_text_table(spark: SparkSession, path: str, **options) -> DataFrame:
-    """CSV with a header; every column is text and missing cells are ''."""
-    rows = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"',
+def read_text_table(spark: SparkSession, path: str, line_breaks: bool = False, **options) -> DataFrame:
+    """CSV with a header; every column is text and missing cells are ''.
+
+    Files are split between tasks.  With ``line_breaks`` inside quoted cells a file
+    cannot be split and is one task.
+    """
+    rows = spark.read.options(header=True, inferSchema=False, multiLine=line_breaks, escape='"',
                               **options).csv(path)
     return rows.na.fill("")
 
 
 def read_annotations(spark: SparkSession, folder: str, schema: str,
-                     list_fields: Sequence[str] = (), merged: str = "_all.json") -> DataFrame:
+                     list_fields: Sequence[str] = (), merged: str = "_all.json",
+                     pattern: str = "*.json") -> DataFrame:
     """All annotation files of a folder but the merged one; unreadable files are skipped.
 
     A ``list_fields`` value written as one object counts as a list of one.
     """
-    files = (spark.read.option("pathGlobFilter", "*.json").option("wholetext", True).text(folder)
+    files = (spark.read.option("pathGlobFilter", pattern).option("wholetext", True).text(folder)
              .select("value", F.col("_metadata.file_name").alias("file_name"))
              .where(F.col("file_name") != merged))
     good = files.where(F.try_parse_json("value").isNotNull())
@@ -91,5 +97,6 @@ def ocr_pages(files: DataFrame) -> DataFrame:
 
 
 def read_ocr(spark: SparkSession, paths: str | Sequence[str],
-             schema: str | T.StructType = OCR_SCHEMA) -> DataFrame:
-    return ocr_pages(spark.read.schema(schema).json(paths, multiLine=True))
+             schema: str | T.StructType = OCR_SCHEMA, lines: bool = False) -> DataFrame:
+    """Pages of recognition caches: one object per file, or one per line (``lines``)."""
+    return ocr_pages(spark.read.schema(schema).json(paths, multiLine=not lines))
