@@ -249,9 +249,9 @@ def drop_prefix_documents(documents: Column) -> Column:
 def drop_bare_articles(citations: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop a bare article where the same record cites a clause or point of it."""
     bare = (F.col("clause") == "") & (F.col("point") == "")
-    detailed = citations.where(~bare).select(*keys, "article").distinct()
-    kept = citations.where(bare).join(detailed, [*keys, "article"], "left_anti")
-    return citations.where(~bare).unionByName(kept.select(*citations.columns))
+    detailed = F.max((~bare).cast("int")).over(Window.partitionBy(*keys, "article"))
+    return (citations.withColumn("_detailed", detailed).where(~bare | (F.col("_detailed") == 0))
+            .drop("_detailed"))
 
 
 def backfill(records: DataFrame, fresh: DataFrame, key: str, lists: Sequence[str],

@@ -67,29 +67,36 @@ def tokens(text: Column, stop_words: Sequence[str] = tuple(legal.STOP_WORDS)) ->
     return F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(*stop_words))
 
 
+def bag_cosine(left: Column, right: Column) -> Column:
+    """Cosine of two word arrays as bags: one walk over both, sorted together."""
+    def entries(words: Column, side: int) -> Column:
+        return F.transform(words, lambda w: F.struct(w.alias("w"), F.lit(side).alias("side")))
+
+    def closed(s: Column) -> Column:
+        return F.struct((s["dot"] + s["a"] * s["b"]).alias("dot"), (s["na"] + s["a"] * s["a"]).alias("na"),
+                        (s["nb"] + s["b"] * s["b"]).alias("nb"))
+
+    def step(s: Column, e: Column) -> Column:
+        one, two = (e["side"] == 0).cast("long"), (e["side"] == 1).cast("long")
+        done = closed(s)
+        same = s["w"] == e["w"]
+        return F.struct(
+            e["w"].alias("w"), F.when(same, s["a"] + one).otherwise(one).alias("a"),
+            F.when(same, s["b"] + two).otherwise(two).alias("b"),
+            *[F.when(same, s[n]).otherwise(done[n]).alias(n) for n in ("dot", "na", "nb")])
+
+    zero = [F.lit(0).cast("long").alias(n) for n in ("a", "b", "dot", "na", "nb")]
+    walked = F.aggregate(F.array_sort(F.concat(entries(left, 0), entries(right, 1))),
+                         F.struct(F.lit("").alias("w"), *zero), step, closed)
+    return let(walked, lambda v: F.when((v["na"] > 0) & (v["nb"] > 0), v["dot"] / F.sqrt(
+        v["na"].cast("double") * v["nb"])).otherwise(F.lit(0.0)))
+
+
 def cosine_pairs(pairs: DataFrame, key: Sequence[str], left: str, right: str,
                  stop_words: Sequence[str] = tuple(legal.STOP_WORDS)) -> DataFrame:
-    """Bag-of-words cosine per pair of texts.
-
-    Words are counted per pair before the shuffle (all words of a pair are in
-    one task already), so what moves is one row per distinct word.  An empty
-    marker word keeps pairs without any words.
-    """
-    def side(column: str, mark: int) -> Column:
-        return F.transform(tokens(F.col(column), stop_words),
-                           lambda w: F.struct(w.alias("w"), F.lit(mark).alias("side")))
-
-    marker = F.array(F.struct(F.lit("").alias("w"), F.lit(-1).alias("side")))
-    words = pairs.select(*key, F.explode(F.concat(
-        marker, side(left, 0), side(right, 1))).alias("e"))
-    counts = words.groupBy(*key, "e.w").agg(
-        F.count_if(F.col("e.side") == 0).alias("a"), F.count_if(F.col("e.side") == 1).alias("b"))
-    sums = counts.groupBy(*key).agg(
-        F.sum(F.col("a") * F.col("b")).alias("dot"), F.sum(F.col("a") * F.col("a")).alias("na"),
-        F.sum(F.col("b") * F.col("b")).alias("nb"))
-    value = F.when((F.col("na") > 0) & (F.col("nb") > 0),
-                   F.col("dot") / F.sqrt(F.col("na").cast("double") * F.col("nb")))
-    return sums.select(*key, F.coalesce(value, F.lit(0.0)).alias("cosine"))
+    """Bag-of-words cosine per pair of texts, counted inside the row; texts are not moved."""
+    return pairs.select(*key, bag_cosine(
+        tokens(F.col(left), stop_words), tokens(F.col(right), stop_words)).alias("cosine"))
 
 
 def answer_score(matched_documents: Column, gold_documents: Column, matched_articles: Column,

@@ -275,45 +275,45 @@ def row_count_check(rows: DataFrame, keys: Sequence[str], expected: int) -> Data
         "as_expected", F.col("n") == expected)
 
 
-def block_context(blocks: DataFrame, page: str, pos: str, block: Column, *, appendix: str,
+def block_context(blocks: DataFrame, page: str, pos: str, *, appendix: str,
                   section: str, closing: str, title_cut: str,
                   section_width: int = 90) -> DataFrame:
     """Context for the tables of a page: appendix, its title, and the section above them.
 
     The title is made of the upper-case lines behind the appendix line, up to a
     closing mark, each cut at ``title_cut``; a new appendix clears title and
-    section.  ``section`` has two groups, number and name.
+    section.  ``section`` has two groups, number and name.  The blocks of a page
+    come out of one source row, so the windows are per page and share one exchange.
     """
     text = F.col("text")
+    so_far = Window.partitionBy(page).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_appendix = text.rlike(appendix)
-    run = running_total(blocks, [page], [pos], block,
-                        _appendix=F.when(is_appendix, 1).otherwise(0).cast("bigint"),
-                        _closed=F.when(text.rlike(closing), 1).otherwise(0).cast("bigint"))
-    run = carry_last(run, [page], [pos], block, _at=F.when(
-        is_appendix, F.struct(F.regexp_extract("text", appendix, 1).alias("name"),
-                              F.col("_closed").alias("closed"))))
     ends = F.when(text.rlike(closing), 1).otherwise(0)
+    run = blocks.withColumns({
+        "_appendix": F.sum(F.when(is_appendix, 1).otherwise(0)).over(so_far),
+        "_closed": F.sum(ends).over(so_far)})
+    run = run.withColumn("_at", F.last(F.when(is_appendix, F.struct(
+        F.regexp_extract("text", appendix, 1).alias("name"), F.col("_closed").alias("closed"))),
+        ignorenulls=True).over(so_far))
     run = run.withColumns({
         "appendix": F.coalesce("_at.name", F.lit("")),
         "_titled": (F.col("_appendix") > 0) & ~is_appendix & (
             (F.col("_closed") - ends) == F.col("_at.closed")) & (F.col("tag") != "table")})
     head = F.trim(F.regexp_replace("text", f"(?s)(?:{title_cut}).*$", ""))
-    titles = (run.where(F.col("_titled")).withColumn("_head", head)
-              .where((F.col("_head") != "") & (F.col("_head") == F.upper("_head")))
-              .groupBy(page, "_appendix")
-              .agg(F.array_join(F.transform(
-                  F.array_sort(F.collect_list(F.struct(pos, F.col("_head").alias("t")))),
-                  lambda e: e["t"]), " ").alias("title")))
+    in_title = F.col("_titled") & (head != "") & (head == F.upper(head))
     mark = (F.when(is_appendix, F.struct(F.lit("").alias("text")))
             .when(~F.col("_titled") & (F.col("tag") != "table") & text.rlike(section)
                   & (F.length(text) < section_width), F.struct(F.concat_ws(
                       ". ", F.regexp_extract("text", section, 1),
                       F.regexp_extract("text", section, 2)).alias("text"))))
-    run = carry_last(run, [page], [pos], block, _section=mark)
-    return (run.join(titles, [page, "_appendix"], "left")
-            .withColumns({"section": F.coalesce("_section.text", F.lit("")),
-                          "title": F.coalesce("title", F.lit(""))})
-            .drop("_appendix", "_closed", "_at", "_titled", "_section"))
+    run = run.withColumns({
+        "_section": F.last(mark, ignorenulls=True).over(so_far),
+        "_heads": F.collect_list(F.when(in_title, F.struct(pos, head.alias("t")))).over(
+            Window.partitionBy(page, "_appendix"))})
+    return (run.withColumns({
+        "section": F.coalesce("_section.text", F.lit("")),
+        "title": F.array_join(F.transform(F.array_sort("_heads"), lambda e: e["t"]), " ")})
+        .drop("_appendix", "_closed", "_at", "_titled", "_section", "_heads"))
 
 
 def decision_index(index: DataFrame, full_texts: DataFrame, clauses: DataFrame, key: str,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions.bind import let
 from corpuscle.functions.text import strip, text_or_empty
-from corpuscle.operators.ordered import previous_value
 
 # What counts as a good character, and the tolerances of the layout.
 GOOD = "[^0-9A-Za-zÀ-ỹ]"
@@ -61,16 +60,17 @@ def upper_median(rows: DataFrame, keys: Sequence[str], value: str, name: str) ->
             .groupBy(*keys).agg(F.min(value).alias(name)))
 
 
-def paragraph_lines(boxes: DataFrame, page: Sequence[str], position: str,
-                    block: Column) -> DataFrame:
+def paragraph_lines(boxes: DataFrame, page: Sequence[str], position: str) -> DataFrame:
     """Mark the lines in front of which a paragraph gap lies.
 
+    The window is one page, which is one image in one source file.
+
     ``boxes``: x0, y0, x1, y1, text; the gap must exceed 0.9 of the page's
     upper median line height.
     """
     heights = upper_median(boxes.withColumn("_h", F.col("y1") - F.col("y0")), page, "_h", "_m")
     median = F.when(F.col("_m") == 0, DEFAULT_HEIGHT).otherwise(F.col("_m"))
-    rows = previous_value(boxes, page, [position], block, _bottom=F.col("y1"))
+    rows = boxes.withColumn("_bottom", F.lag("y1").over(Window.partitionBy(*page).orderBy(position)))
     return (rows.join(heights, list(page), "left")
             .withColumn("new_paragraph", F.coalesce(
                 F.col("y0") - F.col("_bottom") > median * GAP_SHARE, F.lit(False)))

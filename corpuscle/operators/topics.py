@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions.text import fold, literal_pattern
 from corpuscle.rules.legal import OTHER_TOPIC
+from corpuscle.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -86,8 +87,10 @@ def topic_distribution(labelled: DataFrame, sample: str, order: str,
                        samples: int = 3) -> DataFrame:
     """Count, whole percent and the first samples per topic.
 
-    Samples come from a small bounded top-k aggregate, not from collected groups.
+    Samples come from a small bounded top-k aggregate, not from collected groups.  The
+    labels are written first, three narrow columns, so texts are classified once.
     """
+    labelled = cut_lineage(labelled.select(*dict.fromkeys(["topic", sample, order])))
     everything = Window.partitionBy()          # over one row per topic
     counts = (labelled.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("total", F.sum("n").over(everything)))

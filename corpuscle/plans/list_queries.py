@@ -293,7 +293,7 @@ SELECT e.doc_id, e.pos, CASE WHEN e.run > 0 THEN e.appendix ELSE '' END AS appen
 FROM e LEFT JOIN t ON t.doc_id = e.doc_id AND t.run = e.run""")
 def block_context(t: Tables):
     blocks = _lines(t).withColumn("tag", F.when(F.col("pos") % 5 == 4, "table").otherwise("p"))
-    return L.block_context(blocks, "doc_id", "pos", F.expr(BLOCK), appendix=APPENDIX,
+    return L.block_context(blocks, "doc_id", "pos", appendix=APPENDIX,
                            section=SECTION, closing=CLOSING, title_cut=CUT).select(
         "doc_id", "pos", "appendix", "title", "section")
 

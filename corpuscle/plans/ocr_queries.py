@@ -79,7 +79,7 @@ g AS (SELECT *, y0 - lag(y1) OVER (PARTITION BY page ORDER BY position) AS gap F
 SELECT g.page, g.position, coalesce(gap > median * 0.9, false) AS new_paragraph
 FROM g JOIN m ON m.page = g.page""")
 def paragraph_lines(t: Tables):
-    return O.paragraph_lines(_boxes(t), ["page"], "position", F.expr("position div 4000000")).select(
+    return O.paragraph_lines(_boxes(t), ["page"], "position").select(
         "page", "position", "new_paragraph")
 
 
@@ -90,7 +90,7 @@ SELECT g.page, string_agg(concat(CASE WHEN gap > median * 0.9 THEN chr(10) ELSE
        ' block ', block), chr(10) ORDER BY position) AS text
 FROM g JOIN m ON m.page = g.page GROUP BY 1""")
 def page_texts(t: Tables):
-    lines = O.paragraph_lines(_boxes(t), ["page"], "position", F.expr("position div 4000000"))
+    lines = O.paragraph_lines(_boxes(t), ["page"], "position")
     return O.page_text(lines, ["page"], "position")
 
 

@@ -76,7 +76,7 @@ def test_context_of_appendix_tables(rows):
              "Phụ lục II", "KHÁC", "của Chính phủ", "bảng"]
     df = rows([(1, i, s, "table" if s == "bảng" else "p") for i, s in enumerate(lines)],
               "page INT, pos INT, text STRING, tag STRING")
-    got = L.block_context(df, "page", "pos", F.lit(0), appendix=r"(?iu)^Phụ lục\s+([IVX]+)\b",
+    got = L.block_context(df, "page", "pos", appendix=r"(?iu)^Phụ lục\s+([IVX]+)\b",
                           section=r"^((?:\d+(?:\.\d+)?)|(?:[IVX]+))\.\s*(\S.+)$",
                           closing=r"\(Kèm theo|của Chính phủ", title_cut=r"\(Kèm theo")
     assert values(got.where("tag = 'table'"), "pos", "appendix", "title", "section") == [

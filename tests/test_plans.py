@@ -44,3 +44,18 @@ def test_flagship_scans_texts_once(spark):
 def test_rule_tables_are_broadcast_without_hints(spark):
     text = plan(all_queries()["status_cascade"].run(spark, FOLDER))
     assert text.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in text
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name,scans,exchanges", [
+    ("block_context", 1, 1), ("bare_article_filter", 2, 12), ("cosine_pairs", 2, 4)])
+def test_few_scans(spark, no_broadcast, name, scans, exchanges):
+    text = plan(all_queries()[name].run(spark, FOLDER))
+    assert text.count("FileScan") <= scans and text.count("Exchange ") <= exchanges
