@@ -1,7 +1,7 @@
 """Irregular list tables and prose lists -> tidy rows.
 
 Rows carry ``(table, row_no, cells)``.  What a row inherits from headings above
-it is carried with block-wise windows, so one very long table is not one task.
+it is carried range by range, so one very long list is not one task.
 """
 
 from __future__ import annotations
@@ -73,20 +73,22 @@ def group_label(code: Column, name: Column) -> Column:
             .otherwise(F.concat_ws(". ", code, name)))
 
 
-def map_cells(rows: DataFrame, keys: Sequence[str], order: str, block: Column,
+def map_cells(rows: DataFrame, keys: Sequence[str], order: str,
               columns: Sequence[str], kind: Column,
               needles: Sequence[tuple[str, str]] = tuple(COLUMN_NEEDLES)) -> DataFrame:
     """Data cells as named columns, by the last heading row above them.
 
     The heading's column positions travel with the rows, so a repeated heading
-    re-reads the mapping and no join with heading rows is needed.
+    re-reads the mapping and no join with heading rows is needed.  The rows of a
+    table come out of one source row, so the window is per table.
     """
     names = mapped_columns(F.col("cells"), needles)
     positions = let(names, lambda n: F.struct(*[
         F.array_position(n, F.lit(c)).cast("int").alias(c) for c in columns]))
     staged = rows.withColumn("kind", kind)
-    carried = carry_last(staged, keys, [order], block,
-                         _map=F.when(F.col("kind") == "heading", positions))
+    so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = staged.withColumn("_map", F.last(
+        F.when(F.col("kind") == "heading", positions), ignorenulls=True).over(so_far))
     data = carried.where((F.col("kind") == "data") & F.col("_map").isNotNull())
     return data.withColumns({
         c: F.when(F.col(f"_map.{c}") > 0, F.coalesce(
@@ -94,7 +96,7 @@ def map_cells(rows: DataFrame, keys: Sequence[str], order: str, block: Column,
         .otherwise(F.lit("")) for c in columns}).drop("_map")
 
 
-def carry_groups(rows: DataFrame, keys: Sequence[str], order: str, block: Column,
+def carry_groups(rows: DataFrame, keys: Sequence[str], order: str,
                  upper: Column, lower: Column) -> DataFrame:
     """Carry two heading levels down; a new upper heading clears the lower one.
 
@@ -102,15 +104,15 @@ def carry_groups(rows: DataFrame, keys: Sequence[str], order: str, block: Column
     """
     cleared = F.when(upper.isNotNull(), F.struct(F.lit(None).cast("string").alias("text"))).when(
         lower.isNotNull(), F.struct(lower.alias("text")))
-    out = carry_last(rows, keys, [order], block, upper_group=upper, _lower=cleared)
+    out = carry_last(rows, keys, [order], upper_group=upper, _lower=cleared)
     return out.withColumn("lower_group", F.col("_lower.text")).drop("_lower")
 
 
-def number_rows(rows: DataFrame, list_id: Sequence[str], order: Sequence[str], block: Column,
+def number_rows(rows: DataFrame, list_id: Sequence[str], order: Sequence[str],
                 printed: str) -> DataFrame:
     """Printed numbers stay; rows without one count on within their list."""
     missing = F.coalesce(F.trim(printed), F.lit("")) == ""
-    counted = running_total(rows, list_id, order, block,
+    counted = running_total(rows, list_id, order,
                             _auto=F.when(missing, 1).otherwise(0).cast("bigint"))
     return counted.withColumns({
         "number": F.when(missing, F.col("_auto").cast("string")).otherwise(F.trim(printed)),
@@ -127,7 +129,7 @@ def reconcile(typed: DataFrame, expected: DataFrame, table: str) -> DataFrame:
             .where(F.col("rows") != F.col("typed")))
 
 
-def scrap_rows(rows: DataFrame, keys: Sequence[str], order: str, block: Column) -> DataFrame:
+def scrap_rows(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Coded list with split code cells: five cells, or four for rows without a number.
 
     Integer-numbered rows without code are groups, d.d-numbered ones are parent
@@ -146,7 +148,7 @@ def scrap_rows(rows: DataFrame, keys: Sequence[str], order: str, block: Column)
     nothing = F.struct(F.lit("").alias("text"))
     parent = (F.when(is_parent, F.struct(label.alias("text")))
               .when(is_group | ((F.col("code") != "") & (F.col("number") != "")), nothing))
-    out = carry_last(parts, keys, [order], block, group_name=F.when(is_group, label),
+    out = carry_last(parts, keys, [order], group_name=F.when(is_group, label),
                      _parent=parent)
     return out.where(F.col("code") != "").withColumns({
         "group_name": F.coalesce("group_name", F.lit("")),
@@ -258,11 +260,11 @@ def pick_table(rows: DataFrame, page: str, heading: Column, minimum: int, skip:
     return rows.join(first, [page, "table_no"], "left_semi").where(F.col("row_no") > 0)
 
 
-def ordinal_rows(rows: DataFrame, keys: Sequence[str], order: str, block: Column) -> DataFrame:
+def ordinal_rows(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Two-column rows -> (ordinal, name): digits of the first cell, else a running number."""
     name = F.try_element_at("cells", F.lit(2))
     kept = rows.where(F.coalesce(name, F.lit("")) != "")
-    counted = running_total(kept, keys, [order], block, _rn=F.lit(1).cast("bigint"))
+    counted = kept.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
     digits = F.regexp_replace(F.try_element_at("cells", F.lit(1)), r"\D", "")
     return counted.select(*keys, order, F.coalesce(
         F.nullif(digits, F.lit("")), F.col("_rn").cast("string")).alias("ordinal"),

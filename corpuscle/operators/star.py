@@ -83,16 +83,16 @@ def merge_documents(old: DataFrame, new: DataFrame) -> DataFrame:
     return merge(old, new, ["key"], {"name": KEEP, "type": KEEP, "number": FILL, "link": FILL})
 
 
-def assign_ids(dimension: DataFrame, key: str, id_column: str, block: Column) -> DataFrame:
+def assign_ids(dimension: DataFrame, key: str, id_column: str) -> DataFrame:
     """Give rows without an id the next numbers in key order, behind the current maximum.
 
-    ``block`` is a monotone expression of the key (a prefix, for example), so
-    the numbering runs per block and only block sizes are summed in one place.
+    The rows are numbered in ranges of the key; only the sizes of the ranges are summed
+    in one place.
     """
     has_id = dimension.where(F.col(id_column).isNotNull())
     fresh = dimension.where(F.col(id_column).isNull()).drop(id_column)
     top = has_id.agg(F.coalesce(F.max(id_column).cast("bigint"), F.lit(0).cast("bigint")))
-    numbered = (row_numbers(fresh, [], [key], block, "_rn")
+    numbered = (row_numbers(fresh, [], [key], "_rn")
                 .withColumn(id_column, top.scalar() + F.col("_rn")).drop("_rn"))
     return (has_id.withColumn(id_column, F.col(id_column).cast("bigint"))
             .unionByName(numbered.select(*dimension.columns)))
@@ -252,13 +252,13 @@ def new_rows(incoming: DataFrame, loaded: DataFrame, key: str,
     return first_rows(fresh, [key], order).select(*incoming.columns)
 
 
-def read_pages(pages: DataFrame, keys: Sequence[str], page: str, fresh: str, patience: int,
-               block: Column) -> DataFrame:
+def read_pages(pages: DataFrame, keys: Sequence[str], page: str, fresh: str,
+               patience: int) -> DataFrame:
     """Pages up to the first run of ``patience`` pages without news.
 
-    Pages are numbered 1, 2, 3... per key; ``block`` is monotone in the page.
+    Pages are numbered 1, 2, 3... per key.
     """
-    marked = carry_last(pages, keys, [page], block,
+    marked = carry_last(pages, keys, [page],
                         _news=F.when(F.col(fresh) > 0, F.col(page)))
     streak = F.col(page) - F.coalesce("_news", F.lit(0))
     stops = (marked.where(streak >= patience).groupBy(*keys)
@@ -277,12 +277,12 @@ def sample_rows(pool: DataFrame, exclude: DataFrame, key: str, n: int,
 
 
 def take_missing(candidates: DataFrame, collected: DataFrame, category: str,
-                 order: Sequence[str], quota: int, block: Column) -> DataFrame:
+                 order: Sequence[str], quota: int) -> DataFrame:
     """Per category as many candidates as are still missing; quota 0 takes all."""
     if quota <= 0:
         return candidates
     have = collected.groupBy(category).agg(F.count(F.lit(1)).alias("_have"))
-    ranked = row_numbers(candidates, [category], order, block, "_rn")
+    ranked = row_numbers(candidates, [category], order, "_rn")
     return (ranked.join(have, category, "left")
             .where(F.col("_rn") <= F.lit(quota) - F.coalesce("_have", F.lit(0)))
             .drop("_rn", "_have"))

@@ -43,7 +43,6 @@ def _kind():
     return L.row_kind(F.col("cells"), HEADINGS, NEEDLES)
 
 
-BLOCK = "pos div 4096"
 
 
 @query("carry_forward", "G1", """
@@ -57,8 +56,7 @@ FROM a WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
 def carry_forward(t: Tables):
     upper = F.when(F.col("event_type") == "signup", F.concat(F.lit("area "), "event_id"))
     lower = F.when(F.col("event_type") == "error", F.concat(F.lit("class "), "event_id"))
-    rows = L.carry_groups(t.events, ["user_id"], "event_id", F.expr("event_id div 512"),
-                          upper, lower)
+    rows = L.carry_groups(t.events, ["user_id"], "event_id", upper, lower)
     return rows.select("event_id", "upper_group", "lower_group")
 
 
@@ -66,7 +64,7 @@ def carry_forward(t: Tables):
 SELECT event_id, last_value(CASE WHEN event_type = 'view' THEN value END IGNORE NULLS) OVER (
     PARTITION BY user_id ORDER BY event_id) AS category FROM events""")
 def last_category(t: Tables):
-    return carry_last(t.events, ["user_id"], ["event_id"], F.expr("event_id div 512"),
+    return carry_last(t.events, ["user_id"], ["event_id"],
                       category=F.when(F.col("event_type") == "view", F.col("value"))
                       ).select("event_id", "category")
 
@@ -82,7 +80,7 @@ SELECT conv_id, turn, last_value(CASE WHEN starts_with(text, 'The') THEN left(te
 def two_level_groups(t: Tables):
     starts = F.startswith("text", F.lit("The"))
     rows = L.carry_groups(
-        t.conversations, ["conv_id"], "turn", F.expr("turn div 1024"),
+        t.conversations, ["conv_id"], "turn",
         F.when(starts, F.substring("text", 1, 9)),
         F.when(~starts & (F.col("role") == "assistant"),
                L.group_label(F.col("turn").cast("string"), F.substring("text", 1, 5))))
@@ -107,7 +105,7 @@ h AS (SELECT *, {POSITIONS} FROM k),
 m AS (SELECT *, {CARRIED} FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
 SELECT doc_id, pos, {CELLS} FROM m WHERE kind = 'data' AND m_name IS NOT NULL""")
 def mapped_cells(t: Tables):
-    return L.map_cells(_rows(t), ["doc_id"], "pos", F.expr(BLOCK), COLUMNS, _kind(),
+    return L.map_cells(_rows(t), ["doc_id"], "pos", COLUMNS, _kind(),
                        NEEDLES).select("doc_id", "pos", *COLUMNS)
 
 
@@ -122,7 +120,7 @@ SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity > 25
 def auto_numbering(t: Tables):
     rows = t.lineitem.withColumn("printed", F.when(
         F.col("l_quantity") > 25, F.concat(F.lit(" "), F.col("l_quantity").cast("int"))))
-    return L.number_rows(rows, ["l_suppkey"], ORDER.split(", "), F.expr("l_orderkey div 1024"),
+    return L.number_rows(rows, ["l_suppkey"], ORDER.split(", "),
                          "printed").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
                                            "number", "number_source")
 
@@ -164,7 +162,7 @@ def coded_children(t: Tables):
         F.col("p_size").cast("string"), empty, (F.col("p_partkey") % 100).cast("string")))
     head = F.when(kind > 2, F.array("p_name")).otherwise(F.array(number, F.col("p_name")))
     rows = t.part.select("p_type", "p_partkey", F.concat(head, tail).alias("cells"))
-    return L.scrap_rows(rows, ["p_type"], "p_partkey", F.expr("p_partkey div 1000"))
+    return L.scrap_rows(rows, ["p_type"], "p_partkey")
 
 
 # Patterns of the prose lists in these texts.
@@ -257,7 +255,7 @@ SELECT doc_id, CAST(row_no AS INT) AS row_no, coalesce(nullif(regexp_replace(c1,
     CAST(row_number() OVER (PARTITION BY doc_id, table_no ORDER BY row_no) AS VARCHAR)) AS ordinal,
     c2 AS name FROM pick WHERE c2 <> ''""")
 def picked_tables(t: Tables):
-    return L.ordinal_rows(_picked(t), ["doc_id"], "row_no", F.expr("row_no div 4096"))
+    return L.ordinal_rows(_picked(t), ["doc_id"], "row_no")
 
 
 @query("picked_table_check", "G28", PAGE_TABLES + """

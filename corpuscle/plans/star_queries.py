@@ -59,7 +59,7 @@ def topic_dimension(t: Tables):
                                        .otherwise(F.col("p_brand"))).alias("name")).distinct()
     names = names.withColumn("topic_id", F.lit(None).cast("bigint"))
     merged = M.insert_missing(old, names, ["name"])
-    return S.assign_ids(merged, "name", "topic_id", F.substring("name", 1, 7))
+    return S.assign_ids(merged, "name", "topic_id")
 
 
 @query("dim_merge_fill", "L3 C10", f"""
@@ -177,7 +177,7 @@ SELECT c_name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE
 def surrogate_keys(t: Tables):
     rows = t.customer.select("c_name", F.when(F.col("c_custkey") % 3 == 0,
                                               F.col("c_custkey")).alias("id"))
-    return S.assign_ids(rows, "c_name", "id", F.substring("c_name", 1, 15))
+    return S.assign_ids(rows, "c_name", "id")
 
 
 @query("load_statistics", "L8 F4", f"""
@@ -321,9 +321,8 @@ def patience_stop(t: Tables):
     hour = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600)
     pages = t.events.groupBy("event_type", hour.alias("hour")).agg(
         F.count_if((F.col("value") < 8) & (F.col("user_id") % 3 == 0)).alias("fresh"))
-    numbered = row_numbers(pages, ["event_type"], ["hour"], F.expr("hour div 256"), "page")
-    return S.read_pages(numbered, ["event_type"], "page", "fresh", 12,
-                        F.expr("page div 256")).select("event_type", "page", "fresh")
+    numbered = row_numbers(pages, ["event_type"], ["hour"], "page")
+    return S.read_pages(numbered, ["event_type"], "page", "fresh", 12).select("event_type", "page", "fresh")
 
 
 @query("random_sample", "L18", """
@@ -347,5 +346,4 @@ SELECT event_type, event_id FROM (
 def resume_quota(t: Tables):
     done = t.events.where("ts < TIMESTAMP_NTZ '2024-01-10'")
     rest = t.events.where("ts >= TIMESTAMP_NTZ '2024-01-10'")
-    return S.take_missing(rest, done, "event_type", ["ts", "event_id"], 900,
-                          F.date_trunc("hour", "ts")).select("event_type", "event_id")
+    return S.take_missing(rest, done, "event_type", ["ts", "event_id"], 900).select("event_type", "event_id")

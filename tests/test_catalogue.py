@@ -28,7 +28,7 @@ def test_chemical_style_table(rows):
     kind = L.row_kind(F.col("cells"))
     assert [r["k"] for r in table.orderBy("n").select(kind.alias("k")).collect()] == [
         "heading", "group", "data", "blank", "group", "heading", "data"]
-    mapped = L.map_cells(table, ["t"], "n", F.lit(0), ("ordinal", "scientific_name", "name",
+    mapped = L.map_cells(table, ["t"], "n", ("ordinal", "scientific_name", "name",
                                                        "codes"), kind)
     assert values(mapped, "n", "ordinal", "scientific_name", "name", "codes") == [
         (2, "1", "Water", "Nước", "7732-18-5"), (6, "2", "", "Muối", "50-00-00")]
@@ -41,8 +41,7 @@ def test_chemical_style_table(rows):
 def test_new_upper_group_clears_lower(rows):
     df = rows([(1, "A", None), (2, None, "x"), (3, None, None), (4, "B", None), (5, None, None)],
               "n INT, u STRING, l STRING")
-    got = L.carry_groups(df.withColumn("t", F.lit(1)), ["t"], "n", F.expr("n div 2"),
-                         F.col("u"), F.col("l"))
+    got = L.carry_groups(df.withColumn("t", F.lit(1)), ["t"], "n", F.col("u"), F.col("l"))
     assert values(got, "n", "upper_group", "lower_group") == [
         (1, "A", None), (2, "A", "x"), (3, "A", "x"), (4, "B", None), (5, "B", None)]
 
@@ -65,7 +64,7 @@ def test_scrap_list(rows):
     df = rows([(1, 1, ["1", "Nhựa", "", "", ""]), (1, 2, ["1.1", "Khác:", "", "", ""]),
                (1, 3, ["con", "39", "15", "90"]), (1, 4, ["1.2", "PE", "39", "15", "10"]),
                (1, 5, ["lẻ", "39", "15", "20"]), (1, 6, ["x", "y", "z"])], CELLS)
-    got = L.scrap_rows(df, ["t"], "n", F.expr("n div 2"))
+    got = L.scrap_rows(df, ["t"], "n")
     assert values(got, "n", "name", "code", "group_name", "parent") == [
         (3, "con", "391590", "1. Nhựa", "1.1. Khác:"), (4, "PE", "391510", "1. Nhựa", ""),
         (5, "lẻ", "391520", "1. Nhựa", "")]

@@ -50,7 +50,7 @@ def test_bridge_replace_and_citations(rows):
 
 def test_assign_ids_continue(rows):
     dim = rows([("a", 7), ("c", None), ("b", None)], "name STRING, id BIGINT")
-    got = S.assign_ids(dim, "name", "id", F.substring("name", 1, 1))
+    got = S.assign_ids(dim, "name", "id")
     assert values(got) == [("a", 7), ("b", 8), ("c", 9)]
 
 
@@ -86,7 +86,7 @@ def test_delete_by_ids_and_title(rows):
 def test_patience(rows):
     pages = rows([("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("a", 4, 2), ("b", 1, 0), ("b", 2, 3),
                   ("b", 3, 0)], "k STRING, page INT, fresh INT")
-    got = S.read_pages(pages, ["k"], "page", "fresh", 2, F.lit(0))
+    got = S.read_pages(pages, ["k"], "page", "fresh", 2)
     assert values(got, "k", "page") == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("b", 3)]
 
 
