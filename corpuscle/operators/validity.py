@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions.bind import let
 from corpuscle.functions.text import posted_date_iso, strip_edges, text_or_empty
+from corpuscle.operators.ordered import row_numbers
 from corpuscle.rules import legal
 
 IN_FORCE, AMENDED, EXPIRED, PARTLY, UNKNOWN = "con", "con_sd", "het", "het_phan", "chua_ro"
@@ -176,6 +177,12 @@ def newest_first(rows: DataFrame, date_text: str, tie: str) -> DataFrame:
         F.desc("_d"), tie).drop("_d")
 
 
+def numbered_newest_first(rows: DataFrame, date_iso: str, tie: str, name: str = "number") -> DataFrame:
+    """1, 2, 3... by date from the newest on, unparsable dates last, ties in order of ``tie``."""
+    day = F.unix_date(F.try_to_date(F.nullif(F.col(date_iso), F.lit(""))))
+    return row_numbers(rows.withColumn("_age", F.coalesce(-day, F.lit(2**31 - 1))), [], ["_age", tie], name).drop("_age")
+
+
 def as_of(rows: DataFrame, when: str, key: str, versions: DataFrame) -> DataFrame:
     """The version valid at a row's date: ``versions(key, valid_from, valid_to, ...)``.
 

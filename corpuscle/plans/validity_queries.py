@@ -139,6 +139,12 @@ def unresolved_ranking(t: Tables):
     return V.unresolved_ranking(_resolved(t), "name", 15)
 
 
+@query("unresolved_all", "V8", BASE + """
+SELECT name AS document, count(*) AS n FROM w WHERE status = 'chua_ro' AND name <> '' GROUP BY 1""")
+def unresolved_all(t: Tables):
+    return V.unresolved_ranking(_resolved(t), "name")
+
+
 @query("status_totals", "V9", BASE + """
 SELECT count(*) AS total, count(*) FILTER (WHERE status = 'con') AS con,
        count(*) FILTER (WHERE status = 'con_sd') AS con_sd,
@@ -154,9 +160,10 @@ def status_totals(t: Tables):
 
 
 @query("newest_first", "V10", BASE + """
-SELECT o_orderkey, iso FROM w""")
+SELECT o_orderkey, iso, row_number() OVER (ORDER BY nullif(iso, '') DESC NULLS LAST, o_orderkey) AS number
+FROM w""")
 def newest_first(t: Tables):
-    return V.newest_first(_named(t), "posted", "o_orderkey").select("o_orderkey", "iso")
+    return V.numbered_newest_first(_named(t), "iso", "o_orderkey").select("o_orderkey", "iso", "number")
 
 
 VERSIONS = """SELECT r_regionkey % 3 AS family, make_timestamp(1992 + r_regionkey * 2, 3, 1, 0, 0, 0)
