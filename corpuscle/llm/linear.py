@@ -20,29 +20,30 @@ def sigmoid(x):
 
 
 class Rows:
-    """Rows of indicator features as one flat index array with row starts."""
+    """Rows of distinct indicator features; work goes row by row, so memory stays that of the indices."""
 
     def __init__(self, features: list[np.ndarray]):
+        self.cols = features
         self.n = len(features)
-        self.sizes = np.array([len(f) for f in features], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.flat = np.concatenate(features) if features else np.empty(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), self.sizes)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.flat], minlength=self.n) if self.n else np.empty(0)
+        return np.array([w[f].sum() for f in self.cols], dtype=np.float64)
 
-    def back(self, g: np.ndarray, width: int) -> np.ndarray:
-        return np.bincount(self.flat, g[self.row], minlength=width)
+    def count(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """In how many of the chosen rows each feature is."""
+        out = np.zeros(width)
+        for i in np.flatnonzero(rows):
+            out[self.cols[i]] += 1
+        return out
 
     def pick(self, rows: np.ndarray) -> "Rows":
-        return Rows([self.flat[self.starts[i]:self.starts[i + 1]] for i in rows])
+        return Rows([self.cols[i] for i in rows])
 
 
 def log_count_ratio(rows: Rows, y: np.ndarray, width: int, alpha: float = 1.0) -> np.ndarray:
     """log((p/|p|) / (q/|q|)) of smoothed feature counts in the classes 1 and 0."""
-    p = alpha + rows.back((y == 1).astype(float), width)
-    q = alpha + rows.back((y == 0).astype(float), width)
+    p = alpha + rows.count(y == 1, width)
+    q = alpha + rows.count(y == 0, width)
     return np.log((p / max((y == 1).sum(), 1)) / (q / max((y == 0).sum(), 1)))
 
 
@@ -57,8 +58,8 @@ def hinge(rows: Rows, y: np.ndarray, scale: np.ndarray, dense: np.ndarray | None
     dense = np.zeros((rows.n, 0)) if dense is None else dense
     w, v, bias, sign = np.zeros(len(scale)), np.zeros(dense.shape[1]), 0.0, np.where(y == 1, 1.0, -1.0)
     weight = {1.0: c * rows.n / max(2 * (sign > 0).sum(), 1), -1.0: c * rows.n / max(2 * (sign < 0).sum(), 1)}
-    cols = [rows.flat[rows.starts[i]:rows.starts[i + 1]] for i in range(rows.n)]
-    vals = [scale[f] / max(np.linalg.norm(scale[f]), 1e-9) for f in cols]
+    cols = rows.cols
+    vals = [(scale[f] / max(np.linalg.norm(scale[f]), 1e-9)).astype(np.float32) for f in cols]
     square = np.array([float(x @ x) + 1.0 for x in vals]) + (dense ** 2).sum(axis=1)
     alpha, rng = np.zeros(rows.n), np.random.default_rng(seed)
     for _ in range(rounds):

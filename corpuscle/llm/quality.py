@@ -50,7 +50,7 @@ def features(text: str | None, memo: dict | None = None) -> np.ndarray:
     for g in grams:
         i = memo.get(g)
         if i is None:
-            if len(memo) > 400_000:
+            if len(memo) > 60_000:
                 memo.clear()
             same = isinstance(g, tuple) and g[0] == g[1]
             name = "\t=" if same else "\t".join(g) if isinstance(g, tuple) else g
@@ -91,10 +91,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id
                              "f": [features(t, memo).tolist() for t in part["t"]]}
 
     kind = sample.schema["k"].dataType.simpleString()
-    rows = map_slices(sample, make, f"k {kind}, y INT, f ARRAY<BIGINT>").toPandas()
+    rows = map_slices(sample, make, f"k {kind}, y INT, f ARRAY<INT>").toPandas()
     rows = rows.sort_values("k", kind="stable")
     y = (rows["y"].to_numpy(dtype=float) > 0).astype(int)
-    x = linear.Rows([np.sort(np.asarray(f, dtype=np.int64)) for f in rows["f"]])
+    x = linear.Rows([np.asarray(f, dtype=np.int32) for f in rows.pop("f")])
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
         zero = np.zeros(linear.WIDTH, np.float32)

@@ -1,7 +1,7 @@
 """Toxicity by a chain of linear classifiers.
 
 The categories are predicted one after the other.  Each is a linear hinge-loss model
-on hashed indicators (words and the character n-grams of words, so that word families
+on hashed indicators (words and the byte n-grams of words, so that word families
 of any language count) scaled by their log count ratios, and on the probabilities of
 the categories before it; a sigmoid turns margins into probabilities.  In training
 those probabilities come from models that did not see the row (folds), so that later
@@ -10,6 +10,7 @@ links see the errors they will meet.  The last category is the verdict.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,9 +22,10 @@ from . import linear
 from .quality import labelled_sample
 from .rows import LETTERS, free_name, map_slices
 
-FIT_ROWS = 6_000      # labelled rows the chain is fitted on
+FIT_ROWS = 4_000      # labelled rows the chain is fitted on
 FOLDS = 3
-WIDTH = 1 << 18
+WIDTH_BITS = 18
+WIDTH = 1 << WIDTH_BITS      # hashed features
 
 # Seed words of the categories before the last: a labelled toxic text with one of them
 # is an example.  Parameters; the models generalise from the examples' other features.
@@ -74,21 +76,34 @@ def _fit(x: linear.Rows, y: np.ndarray, earlier: np.ndarray) -> Link:
     return Link((w * ratio).astype(np.float32), ratio.astype(np.float32), v, bias)
 
 
-def features(text: str | None, memo: dict) -> np.ndarray:
-    """Distinct hashed indicators: words, and their 4- and 5-grams of characters."""
-    found: set[int] = set()
-    for word in set(LETTERS.findall((text or "").lower())):
-        own = memo.get(word)
-        if own is None:
-            if len(memo) > 200_000:
-                memo.clear()
-            names = {word} if len(word) <= 64 else set()
-            padded = f"^{word[:64]}$"
-            for n in (4, 5):
-                names.update(f"{n}:{padded[i:i + n]}" for i in range(len(padded) - n + 1))
-            own = memo[word] = tuple({linear.bucket(x, WIDTH) for x in names})
-        found.update(own)
-    return np.fromiter(found, np.int64, len(found))
+def features(text: str | None) -> np.ndarray:
+    """Distinct hashed indicators: words, and the runs of 4 and 5 bytes in them.
+
+    A blank stands on both sides of a word, so a run also tells where a word begins or
+    ends.  Runs are hashed for the whole text at once; those across words do not count.
+    """
+    words = LETTERS.findall((text or "").lower())
+    if not words:
+        return np.empty(0, np.int32)
+    whole = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(words)), np.uint32)
+    line = np.frombuffer(f" {' '.join(words)} ".encode("utf-8", "surrogatepass"), np.uint8)
+    blank, letters = line == 32, line.astype(np.uint32)
+    found = [whole]
+    for n in (4, 5):
+        size = len(line) - n + 1
+        if size < 1:
+            continue
+        run = np.full(size, n, np.uint32)
+        for i in range(n):
+            run = (run ^ letters[i:i + size]) * np.uint32(0x01000193)
+        across = blank[1:1 + size].copy()
+        for i in range(2, n - 1):
+            across |= blank[i:i + size]
+        found.append(run[~across])
+    mixed = (np.concatenate(found) * np.uint32(0x9E3779B1)) >> np.uint32(32 - WIDTH_BITS)
+    marks = np.zeros(WIDTH, bool)
+    marks[mixed] = True
+    return np.flatnonzero(marks).astype(np.int32)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id", text: str = "text",
@@ -102,20 +117,19 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id
     sample = labelled_sample(docs, labels, usable, key, text, [label], fit_rows)
 
     def make() -> Callable[[dict], dict]:
-        memo: dict = {}
         groups = [frozenset(s) for s in seeds.values()]
 
         def work(part: dict) -> dict:
             hits = [[not g.isdisjoint(LETTERS.findall(t.lower())) for g in groups] for t in part["t"]]
             return {"k": part["k"], "y": part[f"y_{label}"], "hits": hits,
-                    "f": [features(t, memo).tolist() for t in part["t"]]}
+                    "f": [features(t).tolist() for t in part["t"]]}
         return work
 
     kind = sample.schema["k"].dataType.simpleString()
-    rows = map_slices(sample, make, f"k {kind}, y INT, hits ARRAY<BOOLEAN>, f ARRAY<BIGINT>") \
+    rows = map_slices(sample, make, f"k {kind}, y INT, hits ARRAY<BOOLEAN>, f ARRAY<INT>") \
         .toPandas().sort_values("k", kind="stable")
     last = rows["y"].to_numpy(dtype=float) > 0
-    x = linear.Rows([np.asarray(f, dtype=np.int64) for f in rows["f"]])
+    x = linear.Rows([np.asarray(f, dtype=np.int32) for f in rows.pop("f")])
     targets = [(np.array([h[c] for h in rows["hits"]], dtype=bool) & last) for c in range(len(seeds))] + [last]
     chain = Chain([*seeds, label], [], 0.5)
     folds = np.arange(x.n) % FOLDS
@@ -168,10 +182,10 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
     names = [f"p_{n}" for n in chain.names]
 
     def make() -> Callable[[dict], dict]:
-        known, memo = shared.value, {}
+        known = shared.value
 
         def work(part: dict) -> dict:
-            found = [features(t, memo) for t in part[name]]
+            found = [features(t) for t in part[name]]
             all_p = [known.predict(f) for f in found]
             flag = [bool(len(f)) and p[-1] >= known.cut for f, p in zip(found, all_p)]
             return {c: v for c, v in part.items() if c != name} | {

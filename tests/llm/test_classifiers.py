@@ -11,14 +11,14 @@ DATA = "/root/testdata/sf0.1"
 def test_dual_coordinate_descent_reaches_the_optimum():
     rng = np.random.default_rng(1)
     rows = linear.Rows([np.sort(rng.choice(30, 6, replace=False)) for _ in range(60)])
-    y = np.array([int(f[:1].sum() < 4) for f in np.split(rows.flat, 60)])
+    y = np.array([int(f[0] < 4) for f in rows.cols])
     scale = rng.normal(size=30)
     w, _, b = linear.hinge(rows, y, scale, rounds=4000)
     sign = np.where(y == 1, 1.0, -1.0)
     cost = np.where(y == 1, 30 / (y == 1).sum(), 30 / (y == 0).sum())
     x = np.zeros((60, 31))
     for i in range(60):
-        f = rows.flat[rows.starts[i]:rows.starts[i + 1]]
+        f = rows.cols[i]
         x[i, f] = scale[f] / np.linalg.norm(scale[f])
     x[:, 30] = 1
 
