@@ -35,7 +35,7 @@ def words(text: str | None) -> list[str]:
 class Numbers:
     """64-bit numbers for words, the same in every process; the memory is bounded."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 60_000):
         self.known: dict[str, int] = {}
         self.limit = limit
 

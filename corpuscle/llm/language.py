@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .rows import LETTERS, free_name, map_slices
 
 FIT_ROWS = 20_000      # labelled texts that are counted, those with the smallest hash of the id
-MAX_WORDS = 60_000     # words a model keeps, most frequent first
-MAX_GRAMS = 120_000    # character n-grams a model keeps, most frequent first
+MAX_WORDS = 40_000     # words a model keeps, most frequent first
+MAX_GRAMS = 60_000    # character n-grams a model keeps, most frequent first
 LENGTHS = (5, 4, 3, 2, 1)
 STEP = 0.5             # penalty (log) for each step down in length
 EVIDENCE = 12          # words after which more words no longer sharpen the score
@@ -55,7 +55,7 @@ class Model:
         for word, n in words.items():
             score = memo.get(word)
             if score is None:
-                if len(memo) > 300_000:
+                if len(memo) > 40_000:
                     memo.clear()
                 score = memo[word] = self.word(word[:64])
             for k, s in enumerate(score):

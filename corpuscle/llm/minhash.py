@@ -49,7 +49,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Hashed shingle sets of texts; word hashes are remembered up to a limit."""
 
-    def __init__(self, size: int = SHINGLE, limit: int = 300_000):
+    def __init__(self, size: int = SHINGLE, limit: int = 60_000):
         self.size, self.limit = size, limit
         self.known: dict[bytes, int] = {}
 
