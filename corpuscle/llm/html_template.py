@@ -7,7 +7,8 @@ tokens keep one order on every page and which lie in one and the same gap of the
 around them are valid and nest into the host's template.  What a page has in the gaps
 of the template is its own content.  Gaps in elements made for menus, headers, footers,
 side columns, notices, adverts, forms, comments, scripts and styles are not text; if
-the page marks its article, only gaps in there are.
+the page marks its article, only gaps in there are.  Copies of one page tell nothing
+about what differs between pages, so they count as one page of their host.
 """
 
 from __future__ import annotations
@@ -147,6 +148,16 @@ def _hosted(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
                         host_of(F.col(url)).alias("host"))
 
 
+def _once(pages: DataFrame) -> DataFrame:
+    """``host`` and ``html``, equal pages of a host once.  Only pages that repeat are brought together."""
+    rows = pages.select("host", F.xxhash64("html").alias("page"), "html")
+    again = cut_lineage(rows.groupBy("host", "page").count().where("count > 1").select("host", "page"))
+    if again.isEmpty():
+        return rows
+    return rows.join(again, ["host", "page"], "left_anti").select(*rows.columns).union(
+        rows.join(again, ["host", "page"], "left_semi").select(*rows.columns).dropDuplicates(["host", "page"]))
+
+
 def _occurrences(pages: DataFrame) -> DataFrame:
     """(host, token, n, mark): on how many pages, and a fingerprint of the occurrence vector.
 
@@ -164,8 +175,7 @@ def _occurrences(pages: DataFrame) -> DataFrame:
             return out
         return work
 
-    rows = pages.select("host", F.xxhash64("key", "url").alias("page"), "html")
-    return map_slices(rows, make, "host STRING, token BIGINT, mark BIGINT", 64).groupBy("host", "token").agg(
+    return map_slices(_once(pages), make, "host STRING, token BIGINT, mark BIGINT", 64).groupBy("host", "token").agg(
         F.count("*").alias("n"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("mark"))
 
 
@@ -240,8 +250,8 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", body: st
 def main_text(page: str | None, template: set[int]) -> str:
     """Text in the gaps of the template, block by block.
 
-    With an article (or main) element: its blocks, except those of other elements in
-    it.  Without one: all blocks outside other elements that are not template text.
+    Blocks of other elements and template text are left out; with an article (or main)
+    element also everything outside of it.
     """
     rows = list(events(page))
     marked = any(node.main and not node.side for kind, _, node, _ in rows if kind == "<")
@@ -250,7 +260,7 @@ def main_text(page: str | None, template: set[int]) -> str:
         if kind in "<>":
             if blocks[-1]:
                 blocks.append([])
-        elif not node.side and (node.main if marked else kind == "b" or token not in template):
+        elif not node.side and (node.main or not marked) and (kind == "b" or token not in template):
             blocks[-1].append(text)
     done = (" ".join("".join(b).split()) for b in blocks)
     return "\n\n".join(b for b in done if b)

@@ -58,3 +58,23 @@ def test_order_and_gap():
 def test_very_long_and_deep_pages():
     assert len(h.main_text("<article>" + "<p>word " * 50_000, set()).split()) == 50_000
     assert h.main_text("<div>" * 20_000 + "x", set()) == "x"
+
+
+def boxed(i):
+    return (f"<html><body><article><h1>Head {i}</h1><div class=x1><p>Pass it on</p></div>"
+            + "".join(f"<p>Text {i} {k}</p>" for k in range(i % 3 + 1))
+            + "<div class=x2><p>Read more</p><p>All rights kept</p></div></article></body></html>")
+
+
+def test_template_text_in_articles(spark):
+    want = {i: "\n\n".join([f"Head {i}", *[f"Text {i} {k}" for k in range(i % 3 + 1)]]) for i in range(12)}
+    pages = [(i, f"http://a.b/{i}", boxed(i)) for i in range(12)]
+    assert {r.page_id: r.text for r in h.extract(rows(spark, pages)).collect()} == want
+    few = h.extract(rows(spark, pages[:4])).collect()                # too few pages for a template
+    assert all("Pass it on" in r.text for r in few)
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    same = [(i, f"http://a.b/{i // 2}", boxed(5)) for i in range(30)]
+    got = h.extract(rows(spark, same + [(99, "http://a.b/x", boxed(6))])).collect()
+    assert len(got) == 31 and all("Text 5 2" in r.text for r in got if r.page_id != 99)
