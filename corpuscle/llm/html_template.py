@@ -41,20 +41,30 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "th": ("td", "th"), "option": ("option",), "body": ("head",)}
 HOLDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
          "th": ("tr", "table"), "option": ("select",), "body": ()}
-# Words of a class, id or role that name something other than the article.
+# Class, id and role names of something other than the article, whole or after a hyphen
+# or underscore (``site-header``).  A name that also says has, no or with tells what the
+# element holds or lacks.
 SIDE = frozenset("""ad ads advert advertisement adverts aside banner breadcrumb breadcrumbs comment comments consent
     cookie cookies disqus footer header masthead menu modal nav navbar navigation notice notices popup promo
     related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split())
+FLAGS = frozenset("has have no non not with without hide hidden show".split())
+NEVER = frozenset(["html", "body", "main"])      # hold the article, whatever their class says
 TAG = re.compile(r"<(?:!--|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORDS = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "side", "main")
+    __slots__ = ("tag", "path", "side", "main", "article")
 
-    def __init__(self, tag: str, path: int, side: bool, main: bool):
-        self.tag, self.path, self.side, self.main = tag, path, side, main
+    def __init__(self, tag: str, path: int, side: bool, main: bool, article: bool):
+        self.tag, self.path, self.side, self.main, self.article = tag, path, side, main, article
+
+
+def names_side(name: str) -> bool:
+    """Does a class, id or role name say that its element is not text?"""
+    parts = re.split(r"[-_]+", name.strip("-_"))
+    return parts[-1] in SIDE and FLAGS.isdisjoint(parts[:-1])
 
 
 def mix(a: int, b: int) -> int:
@@ -68,7 +78,7 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
     paragraph, list items and cells end each other, and everything ends with the page.
     """
     page = page or ""
-    root = Node("", 1, False, False)
+    root = Node("", 1, False, False, False)
     stack = [root]
     at, size = 0, len(page)
 
@@ -116,13 +126,15 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
             if stack[depth].tag in CLOSES[name]:
                 yield from close(depth)
                 break
-        names = []
-        for match in ATTRIBUTE.finditer(attributes):
-            names += WORDS.split((match[2] or match[3] or match[4] or "").lower())
+        value = " ".join(m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)).lower()
+        names = WORDS.split(value)
         above = stack[-1]
+        # An article is side only in another one, as a comment on it may be.
+        named = name not in NEVER and (name != "article" or above.article) and any(map(names_side, value.split()))
         kind = " ".join([name, *sorted(n for n in set(names) if n)])
         node = Node(name, mix(above.path, zlib.crc32(kind.encode("utf-8", "surrogatepass"))),
-                    above.side or name in OTHER or not SIDE.isdisjoint(names), above.main or name in MAIN)
+                    above.side or name in OTHER or named, above.main or name in MAIN,
+                    above.article or name == "article")
         yield "<", mix(node.path, 60), node, ""
         if name in VOID or attributes.endswith("/") and name not in RAW:
             yield ">", mix(node.path, 62), node, ""

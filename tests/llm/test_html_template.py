@@ -78,3 +78,14 @@ def test_copies_of_a_page_are_no_template(spark):
     same = [(i, f"http://a.b/{i // 2}", boxed(5)) for i in range(30)]
     got = h.extract(rows(spark, same + [(99, "http://a.b/x", boxed(6))])).collect()
     assert len(got) == 31 and all("Text 5 2" in r.text for r in got if r.page_id != 99)
+
+
+def test_class_words_of_wrappers():
+    whole = ('<body class="has-sidebar">', '<div class="no-sidebar single-post">', '<div id="page-with-nav">',
+             '<div class="header-fixed">', '<html class="nav"><body class="menu">', '<main class="social">')
+    for wrapper in whole:
+        assert h.main_text(f"{wrapper}<article class='comments-open'><p>x</p></article>", set()) == "x", wrapper
+        assert h.main_text(f"{wrapper}<p>x</p>", set()) == "x", wrapper
+    assert h.main_text("<article class=sponsored>a<article class=comment>b</article></article>", set()) == "a"
+    for name in ("sidebar", "left-sidebar", "site_header", "Nav", "x ad"):
+        assert h.main_text(f"<div class='{name}'>a</div><p>x", set()) == "x", name
