@@ -84,6 +84,21 @@ def test_chain_rows(spark):
     assert len(got) == docs.count()
 
 
+def test_categories_come_from_the_labels(spark):
+    rude = ["dumkopf", "odpad", "cretino", "nulla", "skurk", "kuso"]
+    texts = [f"the house number {i % 7} is fine and the garden too {rude[i % 6] if i >= 80 else ''}" for i in range(160)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, int(i >= 80)) for i in range(160)], "doc_id LONG, toxic INT")
+    chain = toxicity.train(docs, labels, F.lit(True))
+    assert all(np.abs(k.weights).max() > 0 for k in chain.links)       # no link is a constant share
+    got = toxicity.score(docs, chain).toPandas().set_index("doc_id")
+    assert got.predicted[:80].sum() == 0 and got.predicted[80:].all()
+    first = {w: got.p_insult[80 + i] > got.p_contempt[80 + i] for i, w in enumerate(rude)}
+    assert sum(first.values()) == 3                                    # half of the words in each
+    given = toxicity.train(docs, labels, F.lit(True), categories={"a": ("odpad",)})
+    assert given.names == ["a", "toxic"]
+
+
 def test_held_out(spark):
     labels = queries.table(spark, DATA, "labels")
     q = queries.op10_quality(spark, DATA).where("held_out").join(labels, "doc_id").toPandas()
