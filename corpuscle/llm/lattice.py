@@ -98,7 +98,7 @@ def unit(vectors: list) -> np.ndarray:
 
 def _compare(key: tuple, rows: dict, out: dict) -> None:
     """Verify the pairs of one block pair of one cell; see ``linked``."""
-    cell, table, p, q = key
+    cell, table, p, q, _ = key
     x, own, copies, ids, side = rows["x"], rows["cells"], rows["copies"], rows["id"], rows["block"]
     near = x @ x.T >= COSINE
     np.fill_diagonal(near, False)
@@ -131,7 +131,9 @@ def _compare(key: tuple, rows: dict, out: dict) -> None:
 
 
 def linked(rows: DataFrame) -> DataFrame:
-    """``rep``, ``links`` and ``root`` for the rows of each (cell, p, q), which lie together in order.
+    """``rep``, ``links`` and ``root`` for the rows of each (size, cell, p, q), which lie together in order.
+
+    Vectors of one length lie together, so a group goes on where a slice or batch ends.
 
     ``links`` counts the partners whose first shared cell this is, with their copies;
     ``root`` is the smallest id the row is tied to in here.
@@ -164,8 +166,9 @@ def linked(rows: DataFrame) -> DataFrame:
                     begin = 0
                     for k, group in itertools.groupby(range(len(keys)), keys.__getitem__):
                         end = begin + sum(1 for _ in group)
+                        k = (*k, size)
                         piece = {c: v[begin:end] for c, v in new.items()}
-                        if k == key and held["x"].shape[1] == x.shape[1]:
+                        if k == key:
                             held.update({c: np.concatenate([held[c], v]) for c, v in piece.items()})
                         else:
                             close()
@@ -221,8 +224,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
         .withColumn("block", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("rep", "cell", "tab", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-    rows_in = together.join(classes, "rep").repartition("cell", "p", "q") \
-        .sortWithinPartitions("cell", "p", "q")
+    rows_in = together.join(classes, "rep").withColumn("size", F.size("vec")) \
+        .repartition("size", "cell", "p", "q").sortWithinPartitions("size", "cell", "p", "q")
     found = cut_lineage(linked(rows_in).groupBy("rep", "root").agg(F.sum("links").alias("links")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     tied = components(found.select("rep", "root"), "rep", "root")

@@ -52,6 +52,16 @@ def test_links(spark):
     check(spark, rows)
 
 
+def test_two_lengths_in_long_partitions(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for size in (16, 24):
+        centre = rng.normal(size=size)
+        rows += [(len(rows) + i, [float(np.float32(x)) for x in centre + rng.normal(size=size) * 0.07], 1, None, None)
+                 for i in range(250)]
+    check(spark, rows)
+
+
 def test_odd_rows(spark):
     v = [1.0, 2.0, 3.0]
     nan, inf = float("nan"), float("inf")
