@@ -1,5 +1,7 @@
 """Backoff, edge cases and held-out accuracy."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from corpuscle.llm import language, queries
@@ -41,6 +43,20 @@ def test_long_text_and_no_training_rows(spark):
     assert language.identify(docs.limit(0), empty).count() == 0
 
 
+def test_long_runs_are_read_to_the_end(spark):
+    rng = random.Random(3)
+    runs = {l: ["".join(rng.choices(signs, k=200)) for _ in range(12)]
+            for l, signs in (("ja", "あいうえおかきくけこ"), ("zh", "天地人日月山水火木金"))}
+    data = [(i, " ".join(f"w{'abcdefghij'[i % 10]}{'abcdefghij'[k]}" for k in range(10)), "en", None, None) for i in range(40)]
+    data += [(100 + 20 * n + i, t, l, None, None) for n, l in enumerate(runs) for i, t in enumerate(runs[l][:10])]
+    model = language.train(rows(spark, data), F.lit(True), max_words=30)
+    assert model.langs == ["en", "ja", "zh"]
+    late = "ж" * 64 + runs["ja"][10]                           # only letters after the 64th tell
+    docs = rows(spark, [(1, runs["zh"][10], None, None, None), (2, late, None, None, None)])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+    assert got[1][0] == "zh" and got[2][0] == "ja" and got[1][1] > 0.9
+
+
 def test_held_out_accuracy(spark):
     got = queries.op3_language(spark, DATA)
     truth = queries.table(spark, DATA, "documents").select("doc_id", "lang")
