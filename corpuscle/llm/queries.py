@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, decontaminate, html_template, language, lattice, minhash, quality, toxicity, urls
+from . import (bpe, credentials, decontaminate, html_template, jacobi_davidson, language, lattice, minhash,
+               ns_bounds, quality, toxicity, urls, va_file)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -77,10 +78,23 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return jacobi_davidson.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return va_file.top_k(table(spark, folder, "embeddings"))
+
+
+def op13_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return ns_bounds.cluster(table(spark, folder, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_lattice": lattice.SQL, "op4_secrets": credentials.oracle(), "op8_minhash": minhash.SQL}
+    return {"op2_lattice": lattice.SQL, "op4_secrets": credentials.oracle(), "op8_minhash": minhash.SQL,
+            "op12_top_k": va_file.SQL, "op13_clusters": ns_bounds.oracle()}
