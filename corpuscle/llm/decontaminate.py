@@ -3,8 +3,8 @@
 A test item is covered by tiles: longest common word sequences of item and document
 that do not overlap.  Documents and items that share no seed (``least`` words in a
 row) have no tile, so documents are looked up by the hashes of their seeds first.  For
-the pairs left, running Karp-Rabin marks tiles longest first, and a document is
-contaminated when tiles cover enough of an item, in whatever order they stand.
+the pairs left, running Karp-Rabin marks tiles longest first (rolled hashes of any run
+length, one search length after the other), and a document is contaminated when tiles cover enough of an item, in whatever order they stand.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from .rows import map_slices
 
 LEAST = 5              # words of the shortest tile
 COVERAGE = 0.6         # share of an item's words under tiles
-START = 20             # first search length of running Karp-Rabin
 BLOCK_CHARS = 8_000_000    # characters of the test items that one pass over the documents carries
 WORD = re.compile(r"\w+")
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -60,54 +59,86 @@ def windows(numbers: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+class Runs:
+    """Hashes of all runs of any length of one word sequence, and which of them are still free."""
+
+    def __init__(self, numbers: np.ndarray, blocked: np.ndarray):
+        self.numbers, self.blocked = numbers, blocked
+        power = np.full(len(numbers), MULTIPLIER, np.uint64)
+        power[:1] = 1
+        back = np.full(len(numbers), pow(MULTIPLIER, -1, 1 << 64), np.uint64)
+        back[:1] = 1
+        self.back = np.cumprod(back)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers * np.cumprod(power))])
+        self.count()
+
+    def count(self) -> None:
+        """How many free words follow from each position on."""
+        n = len(self.numbers)
+        stop = np.where(self.blocked, np.arange(n), n)
+        self.free = np.minimum.accumulate(stop[::-1])[::-1] - np.arange(n)
+
+    def of(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and hashes of the free runs of this length."""
+        at = np.flatnonzero(self.free >= length)
+        return at, (self.sums[at + length] - self.sums[at]) * self.back[at]
+
+
 def tiles(item: np.ndarray, doc: np.ndarray, starts: list[int], least: int) -> list[tuple[int, int, int]]:
     """Tiles (item position, document position, length), longest first.
 
-    ``starts`` are the document positions at which a seed stands; any common run of
-    ``least`` words begins at one of them.  Each round searches runs of the current
-    length with a table of hashes, extends them word by word, and marks the longest
-    first; a run much longer than looked for restarts the search with its length.
+    The result is that of plain greedy tiling: mark the longest common run of unmarked
+    words, of equally long ones the first in the document, then in the item, until none
+    has ``least`` words.  ``starts`` are the document positions at which a seed stands;
+    any common run of ``least`` words begins at one of them.
+
+    The longest length is found by halving, with one rolled hash per position and step;
+    all tiles of that length are marked in one sweep.  As lengths fall with every sweep
+    and tiles do not overlap, an item of n words takes at most sqrt(2n) sweeps, whatever
+    the number of matches.
     """
-    in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
+    if not len(starts):
+        return []
+    near = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(near, np.asarray(starts, np.int64), 1)
+    np.add.at(near, np.minimum(np.asarray(starts, np.int64) + least, len(doc)), -1)
+    near = np.cumsum(near)[:-1] > 0
+    # Only words under a seed can be matched: of each gap one word stays, blocked.
+    keep = np.flatnonzero(near | np.concatenate([[False], near[:-1]]))
+    left, right = Runs(item, np.zeros(len(item), bool)), Runs(doc[keep], ~near[keep])
     out: list[tuple[int, int, int]] = []
-    length = max(least, min(START, len(item)))
+    limit = min(len(item), len(keep))
     while True:
-        hashes, doc_hashes = windows(item, length), windows(doc, length)
+        low = least - 1
+        high = min(limit, int(left.free.max(initial=0)), int(right.free.max(initial=0)))
+        while low < high:
+            middle = (low + high + 1) // 2
+            if np.isin(left.of(middle)[1], right.of(middle)[1]).any():
+                low = middle
+            else:
+                high = middle - 1
+        if low < least:
+            return out
+        places, hashes = left.of(low)
+        spots, found = right.of(low)
+        at = np.isin(found, hashes)
         table: dict[int, list[int]] = defaultdict(list)
-        for i, h in enumerate(hashes.tolist()):
-            if not in_item[i:i + length].any():
-                table[h].append(i)
-        queue: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        longest = 0
-        for d in starts:
-            if d >= len(doc_hashes) or in_doc[d:d + length].any():
+        for i, h in zip(places[::-1].tolist(), hashes[::-1].tolist()):
+            table[h].append(i)              # the first place comes off the end
+        past = 0
+        for d, h in zip(spots[at].tolist(), found[at].tolist()):
+            if d < past or not (open_ := table.get(h)):
                 continue
-            for i in table.get(int(doc_hashes[d]), ()):
-                n = 0
-                while (i + n < len(item) and d + n < len(doc) and item[i + n] == doc[d + n]
-                       and not in_item[i + n] and not in_doc[d + n]):
-                    n += 1
-                if n >= length:
-                    queue[n].append((i, d))
-                    longest = max(longest, n)
-        if longest > 2 * length:
-            length = longest
-            continue
-        while queue:
-            n = max(queue)
-            for i, d in queue.pop(n):
-                free = 0
-                while free < n and not in_item[i + free] and not in_doc[d + free]:
-                    free += 1
-                if free == n:
-                    in_item[i:i + n] = True
-                    in_doc[d:d + n] = True
-                    out.append((i, d, n))
-                elif free >= length:
-                    queue[free].append((i, d))
-        if length == least:
-            return out
-        length = max(least, length // 2)
+            while open_ and left.blocked[open_[-1]:open_[-1] + low].any():
+                open_.pop()
+            if open_ and np.array_equal(item[open_[-1]:open_[-1] + low], right.numbers[d:d + low]):
+                i = open_.pop()
+                left.blocked[i:i + low] = right.blocked[d:d + low] = True
+                out.append((i, int(keep[d]), low))
+                past = d + low
+        left.count()
+        right.count()
+        limit = low - 1
 
 
 class Items:

@@ -1,8 +1,10 @@
 """Tiles against brute force; reordered, partial and clean documents."""
 
 import random
+import time
 
 import numpy as np
+import pytest
 
 from corpuscle.llm import decontaminate as d
 
@@ -11,12 +13,12 @@ ITEM = "the quick brown fox jumps over the lazy dog while nine old cats sleep un
 
 
 def greedy(item, doc, least):
-    """Greedy string tiling without hashes: mark the longest free match until none is left."""
+    """Plain greedy string tiling without hashes: mark the longest free match until none is left."""
     mi, md, out = [False] * len(item), [False] * len(doc), []
     while True:
         best = (0, 0, 0)
-        for i in range(len(item)):
-            for j in range(len(doc)):
+        for j in range(len(doc)):
+            for i in range(len(item)):
                 n = 0
                 while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and not mi[i + n] and not md[j + n]:
                     n += 1
@@ -26,25 +28,45 @@ def greedy(item, doc, least):
         if n < least:
             return out
         mi[i:i + n] = md[j:j + n] = [True] * n
-        out.append(n)
+        out.append((i, j, n))
 
 
-def test_tiles_equal_plain_tiling():
-    rng = random.Random(3)
-    for _ in range(60):
-        item = [rng.randrange(12) for _ in range(rng.randint(5, 40))]
-        doc = [rng.randrange(12) for _ in range(rng.randint(0, 60))]
+def tiled(item, doc, least):
+    x, y = np.array(item, np.uint64), np.array(doc, np.uint64)
+    seeds = set(d.windows(x, least).tolist())
+    starts = [i for i, h in enumerate(d.windows(y, least).tolist()) if h in seeds]
+    return d.tiles(x, y, starts, least)
+
+
+@pytest.mark.parametrize("words", [2, 3, 12, 40])
+def test_tiles_equal_plain_tiling(words):
+    rng = random.Random(words)
+    for _ in range(50):
+        item = [rng.randrange(words) for _ in range(rng.randint(5, 40))]
+        doc = [rng.randrange(words) for _ in range(rng.randint(0, 60))]
         for _ in range(rng.randint(0, 3)):
             a = rng.randrange(len(item))
             doc[len(doc) // 2:len(doc) // 2] = item[a:a + rng.randint(3, 30)]
-        x, y = np.array(item, np.uint64), np.array(doc, np.uint64)
-        seeds = set(d.windows(x, 3).tolist())
-        starts = [i for i, h in enumerate(d.windows(y, 3).tolist()) if h in seeds]
-        found = d.tiles(x, y, starts, 3)
-        want = greedy(item, doc, 3)
-        assert max((t[2] for t in found), default=0) == max(want, default=0)
-        assert all(item[i:i + n] == doc[j:j + n] for i, j, n in found)
-        assert abs(sum(t[2] for t in found) - sum(want)) <= 6 or len(want) > 3
+        assert tiled(item, doc, 3) == greedy(item, doc, 3)
+
+
+def test_repeated_words_end():
+    """Every position matches every other one: 4 * 10^8 pairs."""
+    began = time.perf_counter()
+    assert tiled([7] * 2_000, [7] * 200_000, 5) == [(0, 0, 2_000)]
+    assert tiled([7, 8] * 1_000, [8, 7] * 100_000, 5) == [(0, 1, 2_000)]
+    assert tiled([7] * 1_000 + [1] + [7] * 999, [7] * 300 + ([9] + [7] * 300) * 600, 5) == \
+        [(0, 0, 300), (300, 301, 300), (600, 602, 300), (1001, 903, 300), (1301, 1204, 300), (1601, 1505, 300),
+         (900, 1806, 100), (1901, 1906, 99)]
+    assert time.perf_counter() - began < 3
+
+
+def test_repeated_words_in_documents(spark):
+    item = "la " * 2_000
+    docs = spark.createDataFrame([(1, "la " * 200_000), (2, "so " * 50_000), (3, "la " * 900)], "doc_id LONG, text STRING")
+    items = spark.createDataFrame([(1, item)], "item_id LONG, text STRING")
+    got = [(r.doc_id, r.coverage, r.n_tiles) for r in d.find_leaks(docs, items).collect()]
+    assert got == [(1, 1.0, 1)]
 
 
 def rows(spark):
