@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -28,6 +29,9 @@ AGREE_BYTES = 24     # longer than any special token and any lookahead of the pr
 # Fixed value: the pre-tokenizer's pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# White space as that pattern has it, in runs that its engine would go back over step by step.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
 
 def _byte_letters() -> dict[str, int]:
     """The visible letter that stands for each byte in a vocabulary file."""
@@ -55,7 +59,21 @@ class Codec:
         self.size |= {i: len(s.encode()) for s, i in special.items()}
 
     def encode(self, text: str) -> list[int]:
-        return self.coding.encode(text, allowed_special="all")
+        """Long runs of white space are pieces cut out here, so the pattern only meets short ones.
+
+        A piece never goes on from visible text into white space.  A run is one piece up
+        to the text's end or a special token; before other text its last character
+        is left to what follows, as the lookahead of the pattern has it.
+        """
+        ids: list[int] = []
+        at = 0
+        for run in BLANKS.finditer(text):
+            ids += self.coding.encode(text[at:run.start()], allowed_special="all")
+            at = run.end()
+            if at < len(text) and not text.startswith(tuple(self.special), at):
+                at -= 1
+            ids += self.coding._encode_single_piece(text[run.start():at].encode())
+        return ids + self.coding.encode(text[at:], allowed_special="all")
 
     def decode(self, ids: list[int]) -> str:
         return self.coding.decode(ids, errors="replace")

@@ -42,6 +42,18 @@ def test_tree_equals_library(library, codec, seed):
         assert codec.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000, " " * 2_000_000 + "x", "a" + "\n" * 2_000_000 + "b", "\t" * 2_000_000 + "'s",
+    "q\n" + "\t \u3000\r\n \xa0" * 40_000 + " w", " " * 5_000 + "<|endoftext|>" + "\n" * 5_000 + "1",
+    "\x1c" * 6_000 + "x", " " * 4_095 + "a" + " " * 4_096 + "a" + " " * 4_097 + "\n"])
+def test_long_white_space(library, codec, text):
+    """Runs of white space longer than the pattern's engine can go back over."""
+    want = library.encode(text, add_special_tokens=False).ids
+    assert codec.encode(text) == want
+    assert tree(codec, text, bpe.LEAF) == want
+    assert codec.decode(want) == text
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=200), st.integers(1, 50))
 def test_any_text(text, leaf):
