@@ -287,26 +287,56 @@ def _leftovers(t: Tables):
             diff.where("state = 'added'").select("key", "position"))
 
 
-@query("rename_candidates", "G12", SHORT + """,
-a AS (SELECT DISTINCT key FROM k WHERE is_old AND key NOT IN (SELECT key FROM n)),
-b AS (SELECT DISTINCT key FROM k WHERE NOT is_old AND key NOT IN (SELECT key FROM k WHERE is_old)),
-g AS (SELECT key, list_distinct([substr(key, i, 3) FOR i IN range(1, greatest(length(key) - 1, 2))])
-      AS grams FROM (SELECT key FROM a UNION SELECT key FROM b))
-SELECT a.key AS old_key, b.key AS new_key FROM a JOIN g ga ON ga.key = a.key
-JOIN (SELECT b.key, g.grams FROM b JOIN g ON g.key = b.key) b
-  ON 2 * len(list_intersect(ga.grams, b.grams)) >= 0.5 * (len(ga.grams) + len(b.grams))""")
+PAIRS = SHORT + """,
+a AS (SELECT key, min(position) AS position FROM k WHERE is_old AND key NOT IN (SELECT key FROM n) GROUP BY 1),
+b AS (SELECT key, min(position) AS position FROM k WHERE NOT is_old
+      AND key NOT IN (SELECT key FROM k WHERE is_old) GROUP BY 1),
+w AS (SELECT DISTINCT key, unnest(string_split(key, ' ')) AS word FROM (SELECT key FROM a UNION SELECT key FROM b)),
+z AS (SELECT key, word, count(*) OVER (PARTITION BY key) AS size FROM w WHERE word <> ''),
+pairs AS (SELECT old_key, new_key, 2 * common / total AS score FROM (
+    SELECT x.key AS old_key, y.key AS new_key, count(*) AS common, any_value(x.size + y.size) AS total
+    FROM z x JOIN z y USING (word) WHERE x.key IN (SELECT key FROM a) AND y.key IN (SELECT key FROM b) GROUP BY 1, 2))"""
+# Greedy matching, one pair per step: the keys used so far travel along.
+MATCHED = PAIRS.replace("WITH l AS", "WITH RECURSIVE l AS", 1) + """,
+ranked AS MATERIALIZED (SELECT old_key, new_key, score, row_number() OVER (
+    ORDER BY score DESC, b.position, a.position, new_key, old_key) AS i
+    FROM pairs JOIN a ON a.key = old_key JOIN b ON b.key = new_key WHERE score >= 0.6),
+walk(i, olds, news, old_key, new_key, score) AS (
+    SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST(NULL AS VARCHAR),
+           CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)
+    UNION ALL
+    SELECT r.i, CASE WHEN free THEN list_append(olds, r.ok) ELSE olds END,
+           CASE WHEN free THEN list_append(news, r.nk) ELSE news END,
+           CASE WHEN free THEN r.ok END, CASE WHEN free THEN r.nk END, CASE WHEN free THEN r.s END
+    FROM (SELECT ranked.i, ranked.old_key AS ok, ranked.new_key AS nk, ranked.score AS s, olds, news,
+                 NOT list_contains(olds, ranked.old_key) AND NOT list_contains(news, ranked.new_key) AS free
+          FROM walk JOIN ranked ON ranked.i = walk.i + 1) r),
+renamed AS (SELECT old_key, new_key, score FROM walk WHERE old_key IS NOT NULL)"""
+
+
+@query("rename_candidates", "G12", PAIRS + """
+SELECT old_key, new_key FROM pairs WHERE score >= 0.5""")
 def rename_candidates(t: Tables):
-    return E.candidate_pairs(*_leftovers(t), share=0.5).select("old_key", "new_key")
+    return E.candidate_pairs(*_leftovers(t), share=0.5, tokens=E.words).select("old_key", "new_key")
 
 
-@query("renamed_pairs", "G12")
+@query("renamed_pairs", "G12", MATCHED + """
+SELECT old_key, new_key, round(score, 6) AS score FROM renamed""")
 def renamed_pairs(t: Tables):
-    return E.renamed_pairs(*_leftovers(t), threshold=0.6).select(
+    return E.renamed_pairs(*_leftovers(t), threshold=0.6, tokens=E.words).select(
         "old_key", "new_key", F.round("score", 6).alias("score"))
 
 
-@query("diff_report", "G13")
+@query("diff_report", "G13", MATCHED + """,
+diff AS (SELECT k.key, CASE WHEN n.key IS NULL THEN 'removed' ELSE 'kept' END AS state
+    FROM k LEFT JOIN n ON n.key = k.key WHERE is_old
+    UNION ALL SELECT key, 'added' FROM k WHERE NOT is_old AND key NOT IN (SELECT key FROM k WHERE is_old)),
+marked AS (SELECT CASE WHEN r.old_key IS NOT NULL THEN 'renamed' ELSE state END AS state,
+    CASE WHEN r.old_key IS NOT NULL THEN CAST(round_even(r.score * 100, 0) AS INTEGER) || '%' ELSE '' END AS likeness
+    FROM diff LEFT JOIN renamed r ON state = 'removed' AND r.old_key = diff.key
+    WHERE NOT (state = 'added' AND diff.key IN (SELECT new_key FROM renamed)))
+SELECT state, likeness, count(*) AS n FROM marked GROUP BY ALL""")
 def diff_report(t: Tables):
-    renamed = E.renamed_pairs(*_leftovers(t), threshold=0.6)
+    renamed = E.renamed_pairs(*_leftovers(t), threshold=0.6, tokens=E.words)
     report = E.diff_report(version_diff(t), renamed)
     return report.groupBy("state", "likeness").agg(F.count(F.lit(1)).alias("n"))

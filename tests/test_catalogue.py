@@ -1,5 +1,6 @@
 """Irregular lists, catalogue building, editions and views on invented rows."""
 
+import random
 
 import pytest
 from conftest import values
@@ -228,3 +229,52 @@ def test_best_first_equals_greedy(spark):
             used |= {a, b}
             want.append((a, b))
     assert got == sorted(want)
+
+
+def _word_pairs(old, new, share):
+    sets = lambda k: set(k.split())      # noqa: E731
+    scores = {(a, b): 2 * len(sets(a) & sets(b)) / (len(sets(a)) + len(sets(b)))
+              for a in old for b in new if sets(a) and sets(b)}
+    return {p: s for p, s in scores.items() if s >= share}
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 1.0])
+def test_candidates_of_words_are_complete(spark, share):
+    """Size, prefix and position filters lose no pair, whatever the sizes and frequencies."""
+    rng = random.Random(int(share * 10))
+    vocabulary = [f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(400)]
+    make = lambda n: sorted({" ".join(rng.sample(vocabulary, rng.randint(1, 12))) for _ in range(n)})
+    old, new = make(150), make(150)
+    new += old[:5] + ["", "  "]
+    frame = [spark.createDataFrame([(k, i) for i, k in enumerate(names)], "key STRING, position INT")
+             for names in (old + [""], new)]
+    found = E.candidate_pairs(*frame, share=share, tokens=E.words).collect()
+    assert {(r.old_key, r.new_key): r.score for r in found} == _word_pairs(old, new, share)
+    assert len(found) == len({(r.old_key, r.new_key) for r in found})
+
+
+def test_candidates_stay_within_their_list(spark):
+    ddl = "list STRING, key STRING, position INT"
+    old = spark.createDataFrame([("x", "sale of fire works", 1), ("y", "sale of arms", 2), (None, "sale", 3)], ddl)
+    new = spark.createDataFrame([("x", "sale of works", 1), ("y", "sale of works", 2), (None, "sale", 3)], ddl)
+    got = values(E.renamed_pairs(old, new, 0.5, E.words, ["list"]), "list", "old_key", "new_key")
+    assert got == [("x", "sale of fire works", "sale of works"), ("y", "sale of arms", "sale of works")]
+    assert values(E.renamed_pairs(old.limit(0), new, 0.5, E.words)) == []
+
+
+def test_chains_of_better_pairs_end(spark, monkeypatch):
+    """Every pair of a long chain is better than the one before it, so only one is best at a time."""
+    pairs = [(f"a{(i + 1) // 2:03}", f"b{i // 2:03}", 0.001 * i, i, i) for i in range(80)]
+    pairs += [(f"c{i}", f"d{j}", 0.5, i, j) for i in range(4) for j in range(4)]
+    df = spark.createDataFrame(pairs, "old_key STRING, new_key STRING, score DOUBLE, "
+                                      "old_position INT, new_position INT")
+    written = []
+    monkeypatch.setattr(E, "cut_lineage", lambda d, f=E.cut_lineage: written.append(1) or f(d))
+    got = values(E.best_first(df), "old_key", "new_key")
+    used, want = set(), []
+    for a, b, s, i, j in sorted(pairs, key=lambda p: (-p[2], p[4], p[3], p[1], p[0])):
+        if a not in used and b not in used:
+            used |= {a, b}
+            want.append((a, b))
+    assert got == sorted(want) and len(want) == 44
+    assert len(written) <= 1 + 2 * E.ROUNDS
