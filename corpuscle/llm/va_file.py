@@ -1,6 +1,6 @@
 """Exact top-k search by inner product with a vector-approximation file.
 
-Every component is replaced by the number of its cell among 64, one byte.  From the ends
+Every component is replaced by the number of its cell among 256, one byte.  From the ends
 of the cells follow a lower and an upper bound of every inner product.  Queries and
 approximations meet block by block: a task holds the approximations of one part and lets
 the queries of one slab pass, and hands on, per query, what its bounds cannot rule out.
@@ -26,7 +26,7 @@ from .vectors import Stage, finite, matrix, scaled
 K, EVERY = 5, 50
 SCALE = 256
 LIMIT = 1 << 26          # scaled components beyond it are held there
-CELLS = 64               # per component
+CELLS = 256              # per component
 SAMPLE = 8192            # rows that the marks between cells come from
 PART, SLAB = 65_536, 65_536     # rows of a part, queries of a slab
 BLOCK, STEP = 256, 64           # queries sent together, and of them compared at a time
@@ -35,7 +35,7 @@ BLOCK, STEP = 256, 64           # queries sent together, and of them compared at
 def marks_of(sample: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Dimensions x (CELLS + 1) marks: quantiles of the sample inside, the ends of all rows outside.
 
-    Cell c holds the whole numbers from mark c to mark c + 1, ends included.
+    Cell c holds the whole numbers above mark c up to mark c + 1, the first cell also mark 0.
     """
     inner = np.quantile(sample, np.arange(1, CELLS) / CELLS, axis=0, method="nearest") if len(sample) else \
         np.repeat(low[None], CELLS - 1, axis=0)
@@ -56,6 +56,7 @@ class Approximations:
     def __init__(self, ids: np.ndarray, prints: np.ndarray, cells: np.ndarray, marks: np.ndarray):
         self.ids, self.prints = ids, prints
         low, high = marks[:, :-1].astype(np.float64), marks[:, 1:].astype(np.float64)
+        low[:, 1:] = np.minimum(low[:, 1:] + 1, high[:, 1:])
         d = np.arange(len(marks))
         self.middle = ((low + high) / 2)[d, cells]
         self.half = ((high - low) / 2)[d, cells]
