@@ -1,5 +1,7 @@
 """Citations, names, topics and validity on invented legal text."""
 
+import random
+
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -164,6 +166,49 @@ def test_topic_rules_table(rows):
     assert T.topics_from_rules(rules) == [T.Topic("a", ("x",), ("z",)), T.Topic("b", (), ("y",))]
 
 
+def _expected(topics, title, question, documents):
+    """Scores by plain patterns, rule by rule."""
+    import re
+
+    def hit(word, text):
+        return bool(re.search(rf"(?<![a-z0-9]){re.escape(word)}(?![a-z0-9])", text))
+    scores = [(4 * any(d in documents for d in t.documents) + sum(3 * hit(k, title) + hit(k, question) for k in t.keywords), t.name)
+              for t in topics]
+    best = max(s for s, _ in scores)
+    return (next(n for s, n in scores if s == best), best) if best else ("Khác", 0)
+
+
+def test_topics_equal_rule_by_rule(spark):
+    """Phrases, signs, shared anchors, repeated keywords and terms inside longer words."""
+    rng = random.Random(5)
+    vocabulary = ["dat", "dat dai", "nha o", "o", "c++", "a.b", "luat-su", "su", "thue dat", "x1", "1", "dai"]
+    topics = [T.Topic(f"t{i}", tuple(rng.sample(vocabulary, 4)), tuple(rng.sample(["luat dat", "so 1", "dai"], 1)))
+              for i in range(6)]
+    pieces = vocabulary + ["data", "xdat", "dat  dai", ",", "c+", "ab", "a-b", ""]
+    rows = [(i, *(" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 8))) for _ in range(2)), rng.choice(["luat dat dai", "so 12", ""]))
+            for i in range(200)] + [(200, None, None, None)]
+    df = spark.createDataFrame(rows, "id INT, t STRING, q STRING, d STRING")
+    got = T.classify(df, topics, title=F.col("t"), question=F.col("q"), documents=F.col("d"))
+    flat = lambda v: " ".join((v or "").split())       # noqa: E731
+    assert {r.id: (r.topic, r.score) for r in got.collect()} == {
+        i: _expected(topics, flat(t), flat(q), flat(d)) for i, t, q, d in rows}
+
+
+def test_plan_does_not_grow_with_the_rules(spark):
+    df = spark.createDataFrame([(1, "k77 k9999x", "k5 k3", "")], "id INT, t STRING, q STRING, d STRING")
+
+    def run(n):
+        rules = spark.range(n).selectExpr("concat('t', id % 50) AS topic", "CAST(id % 50 AS INT) AS priority",
+                                          "'keyword' AS kind", "concat('k', id) AS term")
+        return T.classify(df, rules, title=F.col("t"), question=F.col("q"), documents=F.col("d"))
+
+    small, large = run(10), run(10_000)
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())      # noqa: E731
+    assert abs(size(small) - size(large)) < 100
+    assert values(large, "topic", "score") == [("t27", 3)]
+    assert values(run(0), "topic", "score") == [("Khác", 0)]
+
+
 STATUS = [("Nghị định 43/2014/NĐ-CP", "het", "n1"), ("Luật Sở hữu trí tuệ 2019", "het_phan", "n2")]
 CUTOFFS = [("Luật Đất đai", "2024-08-01", "con", "het", "note")]
 YEARS = [("luật đất đai", ["2024"])]
