@@ -7,7 +7,8 @@ the texts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -217,26 +218,112 @@ def parse_reference(reference: Column) -> Column:
                     F.lower).alias("points"))
 
 
-def dictionary_mentions(text: Column, names: Sequence[str] = tuple(legal.KNOWN_NAMES),
-                        year: str = rf"\s+(?:năm\s+)?({legal.YEAR})") -> Column:
+class _Trie:
+    """Names by their characters, as one pattern that takes the longest name at a place."""
+
+    def __init__(self) -> None:
+        self.next: dict[str, _Trie] = {}
+        self.ends = False
+
+    def add(self, name: str) -> None:
+        node = self
+        for char in name:
+            node = node.next.setdefault(char, _Trie())
+        node.ends = True
+
+    def pattern(self) -> str:
+        """A stretch without branches is written at once, so nesting follows the branches."""
+        node, run = self, ""
+        while len(node.next) == 1 and not (node.ends and node is not self):
+            (char, node), = node.next.items()
+            run += literal_pattern(char)
+        if not node.next:
+            return run
+        inner = legal.one_of([literal_pattern(c) + n.pattern() for c, n in sorted(node.next.items())])
+        return run + inner + ("?" if node.ends and node is not self else "")
+
+
+_NAME, _TAIL, _END = "\u0001", "\u0002", "\u0003"
+
+
+def known_names(text: Column, names: Sequence[str] = tuple(legal.KNOWN_NAMES),
+                year: str = rf"\s+(?:năm\s+)?({legal.YEAR})") -> Column:
     """Distinct known names in a text, each with the year written right behind it, if any.
 
-    Names are looked up one by one, so a name inside another one is found too.
+    The names are one pattern, a trie, so the text is scanned once for any number of
+    them: at every place the longest name is taken, and names inside it are found at
+    their own places.  Names that begin with another name are a pattern of their own.
+    """
+    spelled: dict[str, list[str]] = {}
+    for name in dict.fromkeys(n for n in names if n):
+        spelled.setdefault(name.lower(), []).append(name)
+    levels: dict[int, _Trie] = {}
+    for low in sorted(spelled):
+        begins = sum(low[:end] in spelled for end in range(1, len(low)))
+        levels.setdefault(begins, _Trie()).add(low)
+    if not levels:
+        return F.expr("CAST(array() AS array<string>)")
+    meant = F.from_json(F.lit(json.dumps(spelled, ensure_ascii=False)), "map<string,array<string>>")
+    line = F.translate(F.concat(F.lit(" "), one_line(text), F.lit(" ")), _NAME + _TAIL + _END, "")
+
+    def places(trie: _Trie, line: Column) -> Column:
+        marked = F.regexp_replace(line, f"(?iu)(?=({trie.pattern()})(?:{year})?)", f"{_NAME}$1{_TAIL}$2{_END}")
+        return F.array_distinct(F.transform(F.filter(F.split(marked, _NAME), lambda p, i: i > 0),
+                                            lambda p: F.substring_index(p, _END, 1)))
+
+    def spell(place: Column) -> Column:
+        return F.transform(F.element_at(meant, F.lower(F.substring_index(place, _TAIL, 1))), lambda n: F.trim(
+            F.concat_ws(" ", n, F.substring_index(place, _TAIL, -1))))
+
+    return let(line, lambda line: F.array_distinct(F.flatten(F.transform(
+        F.concat(*[places(trie, line) for _, trie in sorted(levels.items())]), spell))))
+
+
+# A document number: digits, a year of four digits, and signs that begin with a letter.
+_NUMBERED = rf"\d+/\d{{4}}(?:/[A-ZĐ][A-ZĐ0-9-]*)?"
+
+
+def numbered_documents(text: Column, types: Sequence[str] = tuple([*legal.NUMBERED_TYPES, legal.CONSTITUTION]),
+                       word: str = "số") -> Column:
+    """Distinct documents written as type, number, year and signs, in their normal form.
+
+    The scan looks for numbers; the type is read backwards from there, over an optional
+    ``word``: the longest type that the words before the number end with.  The normal
+    form is "type number/year/signs", with the type as it is written.
     """
-    line = F.concat(F.lit(" "), one_line(text), F.lit(" "))
-    lowered = F.lower(line)
-    found = []
-    for name in names:
-        pattern = f"(?iu){literal_pattern(name)}(?:{year})?"
-        years = F.array_distinct(F.regexp_extract_all(line, F.lit(pattern), 1))
-        hits = F.transform(years, _with_year(name))
-        found.append(F.when(F.contains(lowered, F.lit(name.lower())), hits)
-                     .otherwise(F.expr("CAST(array() AS array<string>)")))
-    return F.array_distinct(F.flatten(F.array(*found)))
-
-
-def _with_year(name: str):
-    return lambda year: F.trim(F.concat_ws(" ", F.lit(name), year))
+    line = F.translate(one_line(text), _NAME + _TAIL, "")
+    marked = F.regexp_replace(line, f"(?iu)({_NUMBERED})", f"{_NAME}$1{_TAIL}")
+    room = max(map(len, types)) + len(word) + 2
+    kinds = F.array(*[F.lit(t.lower()) for t in sorted(types, key=len, reverse=True)])
+    # Of every piece the number at its start, and the characters before the next number.
+    ends = F.transform(F.split(marked, _NAME), lambda p: F.struct(
+        F.substring_index(p, _TAIL, 1).alias("number"),
+        F.right(F.substring_index(p, _TAIL, -1), F.lit(room)).alias("lead")))
+
+    def without_word(lead: Column) -> Column:
+        return F.when(F.endswith(F.lower(lead), F.lit(" " + word)),
+                      F.rtrim(F.left(lead, F.length(lead) - len(word)))).otherwise(lead)
+
+    def typed(bare: Column, number: Column) -> Column:
+        return let(F.get(F.filter(kinds, lambda k: F.endswith(F.lower(bare), k)), F.lit(0)), lambda kind: F.concat(
+            F.right(bare, F.length(kind)), F.lit(" "), number))
+
+    def document(ends: Column) -> Callable[[Column, Column], Column]:
+        def read(end: Column, at: Column) -> Column:
+            # White space stands between type and number; without a type the result is null.
+            return let(F.get(ends, at - 1)["lead"], lambda lead: F.when(
+                (at > 0) & F.endswith(lead, F.lit(" ")),
+                let(without_word(F.rtrim(lead)), lambda bare: typed(bare, end["number"]))))
+        return read
+
+    return let(ends, lambda ends: F.array_distinct(F.array_compact(F.transform(ends, document(ends)))))
+
+
+def dictionary_mentions(text: Column, names: Sequence[str] = tuple(legal.KNOWN_NAMES),
+                        year: str = rf"\s+(?:năm\s+)?({legal.YEAR})",
+                        types: Sequence[str] = tuple([*legal.NUMBERED_TYPES, legal.CONSTITUTION])) -> Column:
+    """Distinct documents in a text: numbered ones in normal form, and known names with their year."""
+    return F.array_distinct(F.concat(numbered_documents(text, types), known_names(text, names, year)))
 
 
 def drop_prefix_documents(documents: Column) -> Column:

@@ -272,18 +272,28 @@ DICTIONARY = ("Est und", "the", "The of", "de la", "und die")
 YEARISH = r"\s+(than|den|les)"
 
 
+# Types of numbered documents, and how references to some are written into the texts.
+KINDS = ("Bộ luật", "Luật", "Nghị định", "Thông tư liên tịch", "Thông tư")
+NUMBERED = ("concat(text, ' Nghị định số ', doc_id, '/2020/NĐ-CP; thông  tư liên tịch ', doc_id % 7, '/2019/TTLT-BTC, ',"
+            " 'theo Luật ', doc_id % 5, '/2021 và BỘ LUẬT số 9/20', doc_id % 90 + 10, '/QH', doc_id % 3, ' số 4/2020')")
+
+NUMBER = rf"(?i)({'|'.join(KINDS)})\s+(?:số\s+)?(\d+/\d{{4}}(?:/[A-ZĐ][A-ZĐ0-9-]*)?)"
+
+
 @query("dictionary_mentions", "C14 C15", f"""WITH base AS (
-    SELECT doc_id, concat(' ', {line('text')}, ' ') AS t FROM documents),
+    SELECT doc_id, concat(' ', {line(NUMBERED)}, ' ') AS t FROM documents),
 v AS (SELECT * FROM (VALUES {', '.join(f"('{n}')" for n in DICTIONARY)}) AS v(name)),
 y AS (SELECT doc_id, name, unnest(regexp_extract_all(t, concat('(?i)', name,
       '(?:\\s+(than|den|les))?'), 1)) AS y FROM base, v),
+n AS (SELECT doc_id, unnest(regexp_extract_all(t, '{NUMBER}', 1)) AS kind,
+      unnest(regexp_extract_all(t, '{NUMBER}', 2)) AS number FROM base),
 f AS (SELECT DISTINCT doc_id, CASE WHEN coalesce(y, '') = '' THEN name ELSE concat(name, ' ', y) END AS document
-      FROM y)
+      FROM y UNION SELECT doc_id, concat(kind, ' ', number) FROM n)
 SELECT doc_id, document FROM f WHERE NOT EXISTS (
     SELECT 1 FROM f o WHERE o.doc_id = f.doc_id AND o.document <> f.document
     AND starts_with(lower(o.document), concat(lower(f.document), ' ')))""")
 def dictionary_mentions(t: Tables):
-    found = C.dictionary_mentions(F.col("text"), DICTIONARY, YEARISH)
+    found = C.dictionary_mentions(F.expr(NUMBERED), DICTIONARY, YEARISH, KINDS)
     return t.documents.select("doc_id", F.explode(
         C.drop_prefix_documents(found)).alias("document"))
 

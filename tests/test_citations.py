@@ -103,6 +103,39 @@ def test_dictionary_and_prefix(spark):
     assert sorted(row["d"]) == ["Luật Dược", "Luật Đất đai 2013"]
 
 
+def test_numbered_documents(spark):
+    text = ("Theo Nghị định số 100/2019/NĐ-CP, thông tư  liên tịch 5/2020/TTLT-BTC và bộ Luật 7/2021; Luật  số 8/2015/QH13. "
+            "Công văn 9/2020/CV, Luật10/2020, số 11/2020, Hiến pháp 1/2013 Nghị định số 100/2019/NĐ-CP")
+    row = spark.range(1).select(C.numbered_documents(F.lit(text)).alias("d"), C.numbered_documents(
+        F.lit(None).cast("string")).alias("n"), C.numbered_documents(F.lit("5/2020 Luật")).alias("e")).first()
+    assert row["d"] == ["Nghị định 100/2019/NĐ-CP", "thông tư liên tịch 5/2020/TTLT-BTC", "bộ Luật 7/2021",
+                        "Luật 8/2015/QH13", "Hiến pháp 1/2013"]
+    assert row["n"] == [] and row["e"] == []
+
+
+def _names_one_by_one(text, names):
+    import re
+
+    text, found = " " + " ".join((text or "").split()) + " ", set()
+    for name in names:
+        for m in re.finditer(f"(?i)(?={re.escape(name)}(?:\\s+(?:năm\\s+)?((?:19|20)\\d{{2}}))?)", text):
+            found.add(" ".join(filter(None, (name, m[1]))))
+    return found
+
+
+def test_names_in_a_trie_equal_one_by_one(spark):
+    rng = random.Random(9)
+    names = ["ab", "abc", "ab 20", "b", "Bộ luật", "Luật", "luật A", "a.b", "AB", "bộ", "ab 2020 c"]
+    pieces = ["ab", "abc", " ", "2020", "năm 1999", "b", "bộ luật", "LUẬT", "a", "a.b", ".", " 20", "c"]
+    texts = ["".join(rng.choice([p, p + " "]) for p in rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(300)] + [None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, t STRING")
+    got = {r.id: r.d for r in df.select("id", C.known_names(F.col("t"), names).alias("d")).collect()}
+    for i, t in enumerate(texts):
+        assert len(got[i]) == len(set(got[i])) and set(got[i]) == _names_one_by_one(t, names), t
+    many = C.known_names(F.lit("x name77 1999"), [f"name{i}" for i in range(5_000)])
+    assert set(spark.range(1).select(many.alias("d")).first()["d"]) == {"name7", "name77 1999"}
+
+
 def test_parse_reply(rows):
     df = rows([('```json\n{"k": 1}\n```',), ('so: {"k": 2} ok',), ("none",), ("{broken",)],
               "t STRING").select(C.parse_reply(F.col("t"), "k INT").alias("r"))
