@@ -11,6 +11,9 @@ from corpuscle.plans.registry import Tables, query
 from corpuscle.session import shared_folder
 from corpuscle.streaming import intake, load
 
+FEW = 8      # buckets of the stored keys in these queries
+
+
 def _folder(t: Tables) -> str:
     return f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
 
@@ -40,7 +43,7 @@ def stream_intake(t: Tables):
         "concat('https://e/', user_id, '/', event_type, '/', day(ts))").alias("url"))
     _staged(rows, "ts", "2024-01-10", "2024-01-20", f"{folder}/in", lambda stream:
             intake.start_intake(stream, f"{folder}/out", f"{folder}/state", "url",
-                                ["ts", "event_id"]))
+                                ["ts", "event_id"], FEW))
     return intake.intake_table(t.spark, f"{folder}/out", rows.schema).select(
         "url", "event_id", "ts")
 
@@ -72,8 +75,18 @@ RECORDS = """SELECT o_orderkey, o_orderdate, o_orderpriority AS source,
     FROM {orders}"""
 
 
+_LOADED: dict[tuple[str, str], str] = {}
+
+
 def _loaded(t: Tables) -> str:
-    """Run the streaming load and give the folder of its tables."""
+    """The folder of the tables of the streaming load; one load serves all queries of a session."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _LOADED:
+        _LOADED[key] = _load(t)
+    return _LOADED[key]
+
+
+def _load(t: Tables) -> str:
     folder = _folder(t)
     rows = t.spark.sql(RECORDS, orders=t.orders)
 
@@ -91,7 +104,7 @@ def _loaded(t: Tables) -> str:
                           "answer", docs.alias("docs"), cites.alias("cites"))
     _staged(records, "o_orderdate", "1996-01-01", "1999-01-01", f"{folder}/in", lambda stream:
             load.start_load(stream, f"{folder}/star", f"{folder}/state",
-                            ["o_orderdate", "o_orderkey"]))
+                            ["o_orderdate", "o_orderkey"], FEW))
     return f"{folder}/star"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.text import empty_to_null
 from corpuscle.operators.names import document_key, document_type
 from corpuscle.operators.star import content_hash, document_dimension, topic_name
-from corpuscle.streaming.tables import read_batches, write_batch
+from corpuscle.streaming.tables import BUCKETS, read_batches, stored_keys, write_batch
 
 FACTS = ("content_hash STRING, source STRING, topic STRING, title STRING, question STRING, "
          "answer STRING, new BOOLEAN")
@@ -20,15 +20,16 @@ CITATIONS = ("content_hash STRING, key STRING, article STRING, clause STRING, po
              "quoted STRING")
 
 
-def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str]) -> None:
+def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str],
+               buckets: int = BUCKETS) -> None:
     """One micro-batch of flat records (``docs`` and ``cites`` arrays) into four tables.
 
     A fact keeps the first record of its hash but the title of the last one;
     links and citations are those of the last record.
     """
-    spark = batch.sparkSession
     place = F.struct(*order)
-    rows = batch.withColumn("content_hash", content_hash("source", "title", "question"))
+    # Four tables come from these rows and facts: each is computed once per batch.
+    rows = batch.withColumn("content_hash", content_hash("source", "title", "question")).persist()
     facts = rows.groupBy("content_hash").agg(
         F.min_by(F.struct(
             "source", topic_name(F.col("topic")).alias("topic"),
@@ -36,14 +37,23 @@ def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str])
             empty_to_null("answer").alias("answer")), place).alias("f"),
         F.max_by("title", place).alias("title"),
         F.max_by(F.struct("docs", "cites"), place).alias("l"))
-    facts = facts.select("content_hash", "f.*", "title", "l.docs", "l.cites")
-
-    stored = read_batches(spark, f"{root}/facts", FACTS, before=batch_id).where("new").select(
+    facts = facts.select("content_hash", "f.*", "title", "l.docs", "l.cites").persist()
+    try:
+        _write_tables(rows, facts, root, batch_id, order, buckets)
+    finally:
+        facts.unpersist()
+        rows.unpersist()
+
+
+def _write_tables(rows: DataFrame, facts: DataFrame, root: str, batch_id: int, order: Sequence[str],
+                  buckets: int) -> None:
+    # Only the buckets of this batch's hashes are looked into.
+    stored = stored_keys(facts, f"{root}/facts", FACTS, "content_hash", batch_id, buckets).where("new").select(
         "content_hash", F.lit(False).alias("_new"))
     marked = facts.join(stored.distinct(), "content_hash", "left").withColumn(
         "new", F.coalesce("_new", F.lit(True)))
     write_batch(marked.select("content_hash", "source", "topic", "title", "question", "answer",
-                              "new"), f"{root}/facts", batch_id)
+                              "new"), f"{root}/facts", batch_id, "content_hash", buckets)
 
     docs = facts.select("content_hash", F.explode("docs").alias("d")).select("content_hash", "d.*")
     links = docs.where(F.coalesce("name", F.lit("")) != "").select(
@@ -63,10 +73,10 @@ def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str])
         "key", "name", "number", "link", "type"), f"{root}/documents", batch_id)
 
 
-def start_load(stream: DataFrame, root: str, checkpoint: str, order: Sequence[str]):
+def start_load(stream: DataFrame, root: str, checkpoint: str, order: Sequence[str], buckets: int = BUCKETS):
     """Load everything that is there, batch by batch, then stop."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, root, batch_id, order)
+        load_batch(batch, root, batch_id, order, buckets)
 
     return (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

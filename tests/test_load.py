@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpuscle.operators import merge as M
 from corpuscle.operators import star as S
 from corpuscle.sources import readers, rules, sinks
-from corpuscle.streaming import load
+from corpuscle.streaming import intake, load, tables
 
 RECORD = ("id INT, source STRING, topic STRING, title STRING, question STRING, answer STRING, "
           "posted STRING, url STRING")
@@ -109,6 +109,37 @@ def test_stream_load_equals_reload(spark, rows, tmp_path):
         ("tn:luat a", "Luật"), ("tn:luat b", "Luật")]
 
 
+def _files_read(df):
+    """Files the scan of an executed plan opened."""
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numFiles").value()
+
+
+def test_batches_read_the_buckets_of_their_keys(spark, rows, tmp_path):
+    """A lookup opens the buckets its keys fall into, in earlier batches only; a replay changes nothing."""
+    root, ddl = str(tmp_path / "keys"), "url STRING, n INT"
+    for batch_id in range(2):
+        tables.write_batch(rows([(f"u{i}", batch_id) for i in range(100)], ddl), root, batch_id, "url", 16)
+    keys = rows([("u3", 9), ("new", 9)], ddl)
+    own = {str(r[0]) for r in keys.select(tables.bucket_of("url", 16)).collect()}
+    found = tables.stored_keys(keys, root, ddl, "url", 2, 16)
+    assert len(own) == 2 and _files_read(found.coalesce(1)) == 4       # two buckets of two batches, of 32 files
+    assert {r.url for r in found.collect()} >= {"u3"} and found.select("batch").distinct().count() == 2
+    assert tables.stored_keys(keys, root, ddl, "url", 0, 16).count() == 0
+    assert tables.stored_keys(keys.limit(0), root, ddl, "url", 2, 16).count() == 0
+
+
+def test_intake_keeps_first_arrivals(spark, rows, tmp_path):
+    source, ddl = str(tmp_path / "in"), "url STRING, n INT"
+    for part in ([("a", 2), ("a", 1), (None, 7)], [("a", 0), ("b", 5), (None, 8), ("b", 4)]):
+        rows(part, ddl).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ddl).parquet(source)
+        intake.start_intake(stream, str(tmp_path / "out"), str(tmp_path / "state"), "url", ["n"], 4).awaitTermination()
+    got = intake.intake_table(spark, str(tmp_path / "out"), ddl)
+    assert values(got, "url", "n") == sorted([("a", 1), ("b", 4), (None, 7)], key=repr)
+
+
 def test_nested_and_array_files(spark, tmp_path):
     nested = {"source": "s", "categories": [
         {"slug": "a", "name": "A", "count": 1, "done": True, "questions": [
