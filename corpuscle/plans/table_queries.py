@@ -142,6 +142,14 @@ def nested_scan(t: Tables):
     return readers.read_nested(t.spark, folder, lines=True).select("source", "slug", "category", "title")
 
 
+def _rename_part(spark, folder: str, target: str) -> None:
+    """Give the only file of a written table another name and place."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = paths(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in system.globStatus(paths(f"{folder}/part-*")))
+    system.rename(part, paths(target))
+
+
 @query("annotation_files", "S4", """
 SELECT s_name AS file, CAST(s_suppkey % 7 AS INT) AS pages, CAST(s_suppkey % 2 + 1 AS BIGINT) AS letters,
        concat('nation ', s_nationkey) AS first_name FROM supplier""")
@@ -156,9 +164,13 @@ def annotation_files(t: Tables):
         F.lit(', "letters": '), letters, F.lit("}")).alias("value"))
     broken = t.spark.range(1).select(F.lit('{"file": "half').alias("value"))
     files.unionByName(broken).write.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
+    # The merged file lies beside them, under its own name.
+    merged = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
+    files.limit(100).agg(merged.alias("value")).coalesce(1).write.option("compression", "none").text(f"{folder}-merged")
+    _rename_part(t.spark, f"{folder}-merged", f"{folder}/_all.json")
     rows = readers.read_annotations(
         t.spark, folder, "file STRING, pages INT, letters ARRAY<STRUCT<name: STRING>>",
-        list_fields=("letters",), pattern="*.txt")
+        list_fields=("letters",), pattern="{*.txt,_all.json}")
     return rows.select("file", "pages", F.size("letters").cast("bigint").alias("letters"),
                        F.col("letters")[0]["name"].alias("first_name"))
 

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuscle.sources.json_arrays import read_json_arrays
+
+__all__ = ["read_annotations", "read_json_arrays", "read_nested", "read_ocr", "read_text_table"]
+
 DOCUMENT_ELEMENT = "name STRING, number STRING, link STRING"
 CITATION_ELEMENT = ("document STRING, number STRING, article STRING, clause STRING, "
                     "point STRING, quoted STRING, link STRING")
@@ -38,20 +42,6 @@ def read_nested(spark: SparkSession, paths: str | Sequence[str],
     return explode_nested(spark.read.schema(schema).json(paths, multiLine=not lines))
 
 
-def read_json_arrays(spark: SparkSession, paths: Sequence[str],
-                     schema: str) -> DataFrame:
-    """Records of files that each hold one JSON array; other files are skipped.
-
-    ``schema`` is the DDL of one record.  A file is one task, as JSON arrays
-    cannot be split; many files run in parallel.
-    """
-    files = spark.read.text(list(paths), wholetext=True)
-    element = T.ArrayType(T._parse_datatype_string(schema))
-    arrays = files.where(F.startswith(F.ltrim("value"), F.lit("["))).select(
-        F.explode(F.from_json("value", element)).alias("r"))
-    return arrays.select("r.*")
-
-
 def read_text_table(spark: SparkSession, path: str, line_breaks: bool = False, **options) -> DataFrame:
     """CSV with a header; every column is text and missing cells are ''.
 

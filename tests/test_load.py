@@ -1,6 +1,7 @@
 """Star load, maintenance, streaming equality, sources and sinks."""
 
 import json
+import random
 
 import pytest
 from conftest import values
@@ -155,6 +156,28 @@ def test_nested_and_array_files(spark, tmp_path):
     assert values(flat) == [(1, None), (2, None)]
 
 
+@pytest.mark.parametrize("size", ["128m", "200"])
+def test_arrays_in_byte_ranges(spark, tmp_path, size):
+    """Strings full of braces, quotes and escapes; splits begin anywhere in them."""
+    rng, want = random.Random(1), []
+    for f in range(3):
+        records = [{"k": f * 1000 + i, "n": {"x": [{"y": i}, {}]}, "t": "".join(rng.choice(
+            ["a", "}", "{", "[", "]", '"', "\\", "},{", " ", "\n", "é"]) for _ in range(rng.randint(0, 30)))}
+            for i in range(rng.randint(0, 60))]
+        want += [(r["k"], r["t"], [y.get("y") for y in r["n"]["x"]]) for r in records]
+        (tmp_path / f"{f}.json").write_text(json.dumps(records, ensure_ascii=bool(f % 2), indent=[None, 2][f % 2]), "utf-8")
+    for name, text in (("object", '{"k": {"k": 1}}'), ("none", ""), ("empty", " [ ]"), ("half", '[{"k": 5, "t": "}"')):
+        (tmp_path / f"{name}.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = readers.read_json_arrays(spark, [str(tmp_path)], "k INT, t STRING, n STRUCT<x: ARRAY<STRUCT<y: INT>>>")
+        got = [(r.k, r.t, [y.y for y in r.n.x]) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted(want)
+
+
 def test_annotations(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"file": "a", "don_thu": {"ho_ten": "x"}}')
     (tmp_path / "b.json").write_text('{"file": "b", "don_thu": [{"ho_ten": "y"}, {"ho_ten": "z"}]}')
