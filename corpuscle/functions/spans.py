@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from corpuscle.functions.bind import let
 
 _MARK = "\u0001"
-_CHUNK = 128
-_EMPTY = "CAST(array() AS array<struct<start:int,stop:int,text:string>>)"
+_CHUNK = 128        # even: a chunk begins with the text before a match
+_EMPTY = "CAST(array() AS array<struct<start:int,stop:int,text:string,before:string>>)"
 
 
 def find_spans(text: Column, pattern: str) -> Column:
-    """array<struct<start,stop,text>> of non-overlapping matches, 0-based, stop exclusive."""
+    """array<struct<start,stop,text,before>> of non-overlapping matches, 0-based, stop exclusive.
+
+    ``before`` is the text between the match and the one before it.
+    """
     clean = F.replace(text, F.lit(_MARK), F.lit(" "))
     marked = F.regexp_replace(clean, f"({pattern})", f"{_MARK}$1{_MARK}")
     numbered = F.transform(F.split(marked, _MARK), lambda piece, i: F.struct(
@@ -42,15 +45,15 @@ def _place(chunks: Column, sizes: Column) -> Column:
     def step(acc: Column, piece: Column) -> Column:
         stop = acc["at"] + F.length(piece["text"])
         span = F.struct(acc["at"].alias("start"), stop.alias("stop"),
-                        piece["text"].alias("text"))
-        return F.struct(stop.alias("at"),
+                        piece["text"].alias("text"), acc["gap"].alias("before"))
+        return F.struct(stop.alias("at"), piece["text"].alias("gap"),
                         F.when(piece["hit"], F.array_append(acc["out"], span))
                         .otherwise(acc["out"]).alias("out"))
 
     def place_chunk(chunk: Column, index: Column) -> Column:
         offset = F.aggregate(F.slice(sizes, F.lit(1), index), F.lit(0),
                              lambda total, size: total + size)
-        start = F.struct(offset.alias("at"), F.expr(_EMPTY).alias("out"))
+        start = F.struct(offset.alias("at"), F.lit("").alias("gap"), F.expr(_EMPTY).alias("out"))
         return F.aggregate(chunk, start, step, lambda acc: acc["out"])
 
     return F.transform(chunks, place_chunk)

@@ -21,14 +21,36 @@ from corpuscle.functions.text import literal_pattern, strip_edges, text_or_empty
 from corpuscle.rules import legal
 
 
+@dataclass(frozen=True)
+class Parts:
+    """An article reference, found by its article and read backwards from there.
+
+    Each pattern has one group, the value.  The clause ends where the article begins,
+    the point where the clause does, or the article if no clause is there.
+    """
+
+    article: str
+    clause: str
+    point: str
+
+
+def _parts(flags: str, signs: str) -> Parts:
+    """Word and value, then for the inner parts a sign at will and white space."""
+    behind = rf"\s*[{signs}]?\s+" if flags else rf"[{signs}]?\s+"
+    return Parts(rf"{flags}{legal.ARTICLE_WORD}\s+({legal.ARTICLE_VALUE})",
+                 rf"{flags}{legal.CLAUSE_WORD}\s+({legal.CLAUSE_VALUE}){behind}",
+                 rf"{flags}{legal.POINT_WORD}\s+({legal.POINT_VALUE}){behind}")
+
+
 @dataclass(frozen=True)
 class Grammar:
     """Patterns of one citation style; the defaults read Vietnamese legal text."""
 
     document: str = legal.DOCUMENT_PATTERN
-    article: str = legal.ARTICLE_PATTERN      # groups: point, clause, article
-    full: str = legal.FULL_PATTERN
-    part: str = legal.CITED_PART              # an article as whole references write it
+    article: Parts = _parts("(?iu)", legal.LOOSE_SIGNS)
+    part: Parts = _parts("", legal.STRICT_SIGNS)      # an article as whole references write it
+    full: str | None = None                   # None: an article with its document right behind it
+    joint: str = rf"(?:\s+{legal.OWNER_WORD})?\s+"      # between the two
     number: str = legal.NUMBER
     basis_marker: str = legal.BASIS_MARKER
     basis_reach: int = 80
@@ -68,18 +90,29 @@ def document_mentions(records: DataFrame, key: str, text: str,
                        name.alias("document"), document_number(name, grammar).alias("number"))
 
 
+def article_spans(line: Column, parts: Parts) -> Column:
+    """array<struct<start,stop,text,point,clause,article>> of the article references of a line."""
+    def read(span: Column) -> Column:
+        clause = F.regexp_extract(span["before"], rf"(?:{parts.clause})\z", 0)
+        return let(clause, lambda clause: let(
+            F.regexp_extract(F.left(span["before"], F.length(span["before"]) - F.length(clause)),
+                             rf"(?:{parts.point})\z", 0),
+            lambda point: F.struct(
+                (span["start"] - F.length(clause) - F.length(point)).alias("start"), span["stop"].alias("stop"),
+                F.concat(point, clause, span["text"]).alias("text"),
+                F.lower(F.regexp_extract(point, parts.point, 1)).alias("point"),
+                F.lower(F.regexp_extract(clause, parts.clause, 1)).alias("clause"),
+                F.lower(F.regexp_extract(span["text"], parts.article, 1)).alias("article"))))
+
+    return F.transform(find_spans(line, parts.article), read)
+
+
 def article_mentions(records: DataFrame, key: str, text: str,
                      grammar: Grammar = LEGAL) -> DataFrame:
     """(key, start, stop, quoted, point, clause, article), one row per mention."""
-    spans = F.explode(find_spans(one_line(F.col(text)), grammar.article))
-    rows = records.select(key, spans.alias("m"))
-
-    def group(n: int) -> Column:
-        return F.lower(F.regexp_extract(F.col("m.text"), grammar.article, n))
-
-    return rows.select(key, F.col("m.start").alias("start"), F.col("m.stop").alias("stop"),
-                       F.trim(F.col("m.text")).alias("quoted"), group(1).alias("point"),
-                       group(2).alias("clause"), group(3).alias("article"))
+    spans = F.explode(article_spans(one_line(F.col(text)), grammar.article))
+    return records.select(key, spans.alias("m")).select(
+        key, "m.start", "m.stop", F.trim("m.text").alias("quoted"), "m.point", "m.clause", "m.article")
 
 
 def dominant_document(mentions: DataFrame, key: str) -> DataFrame:
@@ -141,42 +174,131 @@ def pair_articles(articles: DataFrame, mentions: DataFrame, key: str,
         "adjacent", near, "dominant", F.lit("")).alias("document"))
 
 
+def _documents(line: Column, grammar: Grammar) -> Column:
+    """array<struct<at,document,numbered,before>> of the document mentions, in order."""
+    def read(span: Column) -> Column:
+        return let(clean_mention(span["text"], grammar), lambda name: F.struct(
+            span["start"].alias("at"), name.alias("document"),
+            (document_number(name, grammar) != "").alias("numbered"), span["before"].alias("before")))
+    return F.transform(find_spans(line, grammar.document), read)
+
+
+def _dominant(documents: Column) -> Column:
+    """Most mentioned document of an array; then one with a number; then the earliest; '' for none."""
+    ordered = F.array_sort(F.transform(documents, lambda d: F.struct(
+        d["document"].alias("document"), d["at"].alias("at"), d["numbered"].alias("numbered"))))
+    none = F.struct(F.lit(-1).alias("n"), F.lit(False).alias("numbered"), F.lit(0).alias("first"), F.lit("").alias("name"))
+
+    def step(acc: Column, d: Column) -> Column:
+        run = acc["run"]
+        run = F.when(run["name"].eqNullSafe(d["document"]) & (run["n"] > 0), F.struct(
+            (run["n"] + 1).alias("n"), (run["numbered"] | d["numbered"]).alias("numbered"),
+            run["first"].alias("first"), run["name"].alias("name"))).otherwise(F.struct(
+                F.lit(1).alias("n"), d["numbered"].alias("numbered"), (-d["at"]).alias("first"),
+                d["document"].alias("name")))
+        return let(run, lambda run: F.struct(run.alias("run"), F.greatest(acc["best"], run).alias("best")))
+
+    return F.aggregate(ordered, F.struct(none.alias("run"), none.alias("best")), step, lambda acc: acc["best"]["name"])
+
+
+def _ranked(values: Column) -> Column:
+    """A sorted array with every w-th value of it, w its root, so that ``_rank`` looks at 2w values."""
+    return let(values, lambda v: let(F.greatest(F.ceil(F.sqrt(F.size(v))), F.lit(1)).cast("int"), lambda w: F.struct(
+        v.alias("all"), w.alias("w"), F.when(F.size(v) > 0, F.transform(
+            F.sequence(F.lit(0), F.size(v) - 1, w), lambda i: F.get(v, i))).alias("heads"))))
+
+
+def _rank(ranked: Column, value: Column) -> Column:
+    """How many values of a sorted array are not above ``value``."""
+    heads = F.coalesce(F.size(F.filter(ranked["heads"], lambda h: h <= value)), F.lit(0))
+    return let(heads, lambda n: F.when(n <= 0, 0).otherwise((n - 1) * ranked["w"] + F.size(F.filter(
+        F.slice(ranked["all"], (n - 1) * ranked["w"] + 1, ranked["w"]), lambda v: v <= value))))
+
+
+def _nearest(articles: Column, documents: Column, dominant: Column, grammar: Grammar) -> Column:
+    """The articles with the ``document`` each belongs to; documents are in order of position.
+
+    The nearest document to a point is the last one before it or the first one behind it,
+    so every start and stop of an article is placed among the documents and takes its
+    two neighbours.
+    """
+    def offer(d: Column, a: Column) -> Column:
+        return F.when(d.isNotNull(), F.struct(
+            F.least(F.abs(d["at"] - a["start"]), F.abs(d["at"] - a["stop"])).alias("gap"), d["at"].alias("at"),
+            d["document"].alias("document")))
+
+    def choose(a: Column, ranked: Column) -> Column:
+        def by_place(first: Column, last: Column) -> Column:
+            offers = [offer(F.get(documents, i), a) for i in (first - 1, first, last - 1, last)]
+            return let(F.struct(F.array_min(F.array(*offers)).alias("near"), F.get(documents, last).alias("behind")),
+                       lambda o: F.coalesce(
+                           F.when(o["behind"]["at"] - a["stop"] <= grammar.adjacent, o["behind"]["document"]),
+                           F.when(o["near"]["gap"] <= grammar.reach, o["near"]["document"]), dominant))
+        return let(F.struct(_rank(ranked, a["start"]).alias("s"), _rank(ranked, a["stop"] - 1).alias("t")),
+                   lambda place: by_place(place["s"], place["t"]))
+
+    return let(_ranked(F.transform(documents, lambda d: d["at"])), lambda ranked: F.transform(
+        articles, lambda a: a.withField("document", choose(a, ranked))))
+
+
+def cited_articles(records: DataFrame, key: str, text: str, grammar: Grammar = LEGAL) -> DataFrame:
+    """``article_mentions`` with the ``document`` each belongs to, as ``pair_articles`` finds it.
+
+    Both kinds of mentions lie in the row of their text, so nothing is shuffled.
+    """
+    line = one_line(F.col(text))
+    rows = records.select(key, article_spans(line, grammar.article).alias("articles"),
+                          _documents(line, grammar).alias("documents"))
+    paired = let(F.struct("articles", "documents"), lambda r: let(_dominant(r["documents"]), lambda top: _nearest(
+        r["articles"], r["documents"], top, grammar)))
+    return rows.select(key, F.explode(paired).alias("m")).select(
+        key, "m.start", "m.stop", F.trim("m.text").alias("quoted"), "m.point", "m.clause", "m.article", "m.document")
+
+
 def best_reference(records: DataFrame, key: str, text: str,
                    grammar: Grammar = LEGAL) -> DataFrame:
     """One reference per record, '' when it cites no article.
 
     Whole references rank by nearness behind a basis marker, then by how
     specific they are, then by position; without any, the best article is
-    paired with its document.
+    paired with its document.  All of it happens in the record's row.
     """
     line = one_line(F.col(text))
-    reach = grammar.basis_reach
-
-    def ranked(pattern: str) -> DataFrame:
-        rows = records.select(key, line.alias("line"),
-                              F.explode(find_spans(line, pattern)).alias("m"))
-        name = clean_mention(F.col("m.text"), grammar)
-        lead = F.substring(F.col("line"), F.greatest(F.col("m.start") - reach, F.lit(0)) + 1,
-                           F.least(F.lit(reach), F.col("m.start")) + 20)
-        offset = F.regexp_instr(lead, F.lit(f"{grammar.basis_marker}"))
-        near = (offset > 0) & (offset - 1 <= F.least(F.lit(reach), F.col("m.start")))
-        specific = sum((F.contains(name, F.lit(w)).cast("int") for w in grammar.specific_words),
-                       F.lit(0))
-        rank = F.struct((~near).alias("far"), (-specific).alias("vague"),
-                        F.col("m.start").alias("start"))
-        return rows.select(key, name.alias("cited"), F.col("m.start").alias("start"),
-                           F.col("m.stop").alias("stop"), rank.alias("rank"))
-
-    full = ranked(grammar.full).groupBy(key).agg(F.min_by("cited", "rank").alias("full"))
-    article = ranked(grammar.part).groupBy(key).agg(
-        F.min_by(F.struct("cited", "start", "stop"), "rank").alias("a"))
-    article = article.select(key, F.col("a.cited").alias("cited"), F.col("a.start").alias("start"),
-                             F.col("a.stop").alias("stop"))
-    mentions = document_mentions(records, key, text, grammar)
-    paired = pair_articles(article, mentions, key, grammar)
-    pairs = paired.select(key, F.trim(F.concat_ws(" ", "cited", "document")).alias("pair"))
-    return (records.select(key).join(full, key, "left").join(pairs, key, "left")
-            .select(key, F.coalesce("full", "pair", F.lit("")).alias("reference")))
+    rows = records.select(
+        key, article_spans(line, grammar.part).alias("articles"), _documents(line, grammar).alias("documents"),
+        _ranked(F.transform(find_spans(line, grammar.basis_marker), lambda m: m["start"])).alias("marks"),
+        *([find_spans(line, grammar.full).alias("full")] if grammar.full else []))
+
+    def best(found: Column, marks: Column) -> Column:
+        """The best of the found references; ``marks`` are the ranked positions of the marker."""
+        def rank(m: Column) -> Column:
+            name = clean_mention(m["text"], grammar)
+            near = _rank(marks, m["start"]) > _rank(marks, m["start"] - grammar.basis_reach - 1)
+            return let(name, lambda name: F.struct(
+                (~near).alias("far"),
+                (-sum((F.contains(name, F.lit(w)).cast("int") for w in grammar.specific_words), F.lit(0))).alias("vague"),
+                m["start"].alias("start"), m["stop"].alias("stop"), name.alias("cited")))
+        return F.array_min(F.transform(found, rank))
+
+    def whole(articles: Column, documents: Column) -> Column:
+        """Articles with a document right behind them, as one text."""
+        def joined(a: Column) -> Column:
+            behind = F.filter(documents, lambda d: (d["at"] > a["stop"]) & F.regexp_like(
+                F.right(d["before"], d["at"] - a["stop"]), F.lit(rf"(?U)^{grammar.joint}\z")))
+            return F.transform(behind, lambda d: F.struct(a["start"].alias("start"), a["stop"].alias("stop"), F.concat(
+                a["text"], F.right(d["before"], d["at"] - a["stop"]), d["document"]).alias("text")))
+        return F.flatten(F.transform(articles, joined))
+
+    full = F.col("full") if grammar.full else let(
+        F.struct("articles", "documents"), lambda r: whole(r["articles"], r["documents"]))
+    rows = rows.withColumns({
+        "whole": let(F.struct(full.alias("f"), F.col("marks").alias("m")), lambda r: best(r["f"], r["m"])),
+        "part": let(F.struct(F.col("articles").alias("f"), F.col("marks").alias("m")), lambda r: best(r["f"], r["m"]))})
+    one = F.filter(F.array("part"), lambda p: p.isNotNull())
+    paired = let(F.struct(one.alias("one"), F.col("documents")), lambda r: let(
+        _dominant(r["documents"]), lambda top: _nearest(r["one"], r["documents"], top, grammar)))
+    pair = F.transform(paired, lambda p: F.trim(F.concat_ws(" ", p["cited"], p["document"])))
+    return rows.select(key, F.coalesce("whole.cited", F.get(pair, F.lit(0)), F.lit("")).alias("reference"))
 
 
 def dedupe_citations(paired: DataFrame, key: str, grammar: Grammar = LEGAL) -> DataFrame:
@@ -199,13 +321,45 @@ def attach_links(rows: DataFrame, anchors: DataFrame, key: str) -> DataFrame:
             .withColumn("link", F.coalesce("link", F.lit(""))))
 
 
-def mask(text: Column, pattern: str = legal.ORGANISATION) -> Column:
-    """Blank out names that would be read as documents (only in the scanned copy)."""
-    return F.regexp_replace(text, pattern, " ")
+def mask(text: Column, organisations: Sequence[str] = tuple(legal.ORGANISATIONS),
+         between: Sequence[str] = tuple(legal.BETWEEN), law: str = legal.LAW_WORD,
+         pattern: str | None = None) -> Column:
+    """Blank out names that would be read as documents (only in the scanned copy).
 
-
-def drop_bad_documents(mentions: DataFrame, pattern: str = legal.BAD_DOCUMENT) -> DataFrame:
-    return mentions.where(~F.col("document").rlike(pattern))
+    A name ends at a comma, a semicolon or a line.  In such a stretch every law word is
+    looked at from behind: with an organisation's word before it, perhaps over some
+    words between, the name begins there and takes the rest of the stretch.
+    """
+    if pattern is not None:
+        return F.regexp_replace(text, pattern, " ")
+    lead = rf"(?iu){legal.one_of(list(organisations))}(?:\s+{legal.one_of(list(between))})*\s+\z"
+
+    def blank(stretch: Column) -> Column:
+        def cut(span: Column) -> Column:
+            return F.length(F.regexp_extract(F.left(stretch, span["start"]), lead, 0))
+
+        starts = F.filter(F.transform(find_spans(stretch, rf"(?iu)\b{law}\b"), lambda m: F.struct(
+            m["start"].alias("at"), cut(m).alias("n"))), lambda m: m["n"] > 0)
+        return let(F.get(starts, F.lit(0)), lambda first: F.when(first.isNull(), stretch).otherwise(F.concat(
+            F.left(stretch, first["at"] - first["n"]), F.lit(" "),
+            F.regexp_extract(stretch, r"[,\n;]\z", 0))))
+
+    return F.array_join(F.transform(F.split(text, r"(?<=[,\n;])"), blank), "")
+
+
+def drop_bad_documents(mentions: DataFrame, addressed: Sequence[str] = tuple(legal.ADDRESSED),
+                       places: Sequence[str] = tuple(legal.PLACES), pattern: str | None = None) -> DataFrame:
+    """Drop names that are addresses: a law word with a place right behind it."""
+    if pattern is not None:
+        return mentions.where(~F.col("document").rlike(pattern))
+    words = F.split(F.lower(one_line(F.col("document"))), r"[^\p{L}\p{M}\d]+")
+    begins = [F.array_join(F.slice(words, 1, n), " ") for n in range(1, 5)]
+    bad = F.lit(False)
+    for law in addressed:
+        for place in places:
+            name = f"{law} {place}"
+            bad = bad | (begins[len(name.split()) - 1] == name)
+    return mentions.where(~bad)
 
 
 def parse_reference(reference: Column) -> Column:

@@ -20,7 +20,8 @@ FULL = f"(?:(?:a|ein|un|una) )?(?:(?:to|und|et|y) )?(?:of|von|de) {DOC}"
 NUM = f"[{LETTERS}]*tion[{LETTERS}]*"
 BASIS = "(?:And|Und|Et|Los)"
 
-GRAMMAR = C.Grammar(document=DOC, article=ART, full=FULL, part=ART, number=NUM, basis_marker=BASIS,
+PARTS = C.Parts(article=f"(?:of|von|de) ([{LETTERS}]+)", clause="(to|und|et|y) ", point="(a|ein|un|una) ")
+GRAMMAR = C.Grammar(document=DOC, article=PARTS, full=FULL, part=PARTS, number=NUM, basis_marker=BASIS,
                     specific_words=("to ", "a "), conjunctions=("and", "ent"))
 
 LINES = f"base AS (SELECT doc_id, {line('text')} AS t FROM documents)"
@@ -71,7 +72,7 @@ def _articles(t: Tables):
 
 
 def _paired(t: Tables):
-    return C.pair_articles(_articles(t), _mentions(t), "doc_id", GRAMMAR)
+    return C.cited_articles(t.documents, "doc_id", "text", GRAMMAR)
 
 
 @query("mention_extract", "C1", MENTIONS + "SELECT doc_id, start, stop, document, number FROM d")
@@ -158,8 +159,8 @@ d AS (SELECT doc_id, {CLEAN.format('hit')} AS document FROM d0)
 SELECT doc_id, document, count(*) AS n FROM d WHERE NOT regexp_matches(document, '{BAD}')
 GROUP BY ALL""")
 def masked_mentions(t: Tables):
-    masked = t.documents.select("doc_id", C.mask(F.col("text"), MASK).alias("text"))
-    rows = C.drop_bad_documents(C.document_mentions(masked, "doc_id", "text", GRAMMAR), BAD)
+    masked = t.documents.select("doc_id", C.mask(F.col("text"), pattern=MASK).alias("text"))
+    rows = C.drop_bad_documents(C.document_mentions(masked, "doc_id", "text", GRAMMAR), pattern=BAD)
     return rows.groupBy("doc_id", "document").agg(F.count(F.lit(1)).alias("n"))
 
 
