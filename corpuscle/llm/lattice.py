@@ -92,7 +92,9 @@ def cells(vectors: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 
 def unit(vectors: list) -> np.ndarray:
+    """Rows of length one.  A power of two brings them near one first: squares may leave the doubles."""
     x = np.asarray(vectors, dtype=np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

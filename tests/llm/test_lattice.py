@@ -72,6 +72,16 @@ def test_odd_rows(spark):
     assert lattice.near_vectors(spark.createDataFrame([], DDL)).count() == 0
 
 
+def test_extreme_lengths(spark):
+    """Squares of the components under- and overflow; directions count all the same."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(6, 8))
+    rows = [(i * 10 + j, [float(c) for c in v * scale], 1, None, None)
+            for i, v in enumerate(base) for j, scale in enumerate((1.0, 1e-200, 1e200, 5e-310, 1e-30))]
+    got = lattice.near_vectors(spark.createDataFrame(rows, DDL.replace("FLOAT", "DOUBLE"))).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(k, 4, k // 10 * 10) for k, *_ in rows}
+
+
 def test_nearest_is_nearest():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(300, 8)) * 2
