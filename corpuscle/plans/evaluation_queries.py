@@ -183,7 +183,35 @@ def quote_location(t: Tables):
     return at.select("conv_id", "turn", "quote", "at.start", "at.stop", "at.how")
 
 
-@query("placed_segments", "E7 E11")
+# Longest first, one segment per step; what is kept so far travels along.
+PLACED = r"""WITH RECURSIVE q AS (SELECT conv_id, turn, text, list_filter([
+    trim(substr(text, 11, 40), ' ' || chr(10)),
+    trim(replace(substr(text, 61, 40), ' ', ' ' || chr(10) || ' '), ' ' || chr(10)),
+    trim(translate(substr(text, 121, 40), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ' ' || chr(10)),
+    'nowhere in the text at all', trim(substr(text, 15, 6), ' ' || chr(10))], lambda x: x <> '') AS qs
+    FROM conversations),
+s AS (SELECT conv_id, turn, text, unnest(qs) AS quote, generate_subscripts(qs, 1) - 1 AS n FROM q),
+r AS (SELECT *, array_to_string([regexp_escape(w) FOR w IN regexp_split_to_array(quote, '\s+')], '\s+') AS pattern FROM s),
+h AS (SELECT *, CASE WHEN length(quote) < 8 THEN NULL WHEN contains(text, quote) THEN quote
+        WHEN regexp_matches(text, pattern) THEN regexp_extract(text, pattern)
+        WHEN regexp_matches(text, '(?i)' || pattern) THEN regexp_extract(text, '(?i)' || pattern) END AS hit FROM r),
+loc AS (SELECT *, strpos(text, hit) - 1 AS start, strpos(text, hit) - 1 + length(hit) AS stop FROM h),
+o AS (SELECT conv_id, turn, n, start, stop, row_number() OVER (PARTITION BY conv_id, turn ORDER BY stop - start DESC, n) AS k
+      FROM loc WHERE hit IS NOT NULL),
+walk(conv_id, turn, k, kept) AS (
+    SELECT DISTINCT conv_id, turn, CAST(0 AS BIGINT), CAST([] AS STRUCT(n BIGINT, a BIGINT, b BIGINT)[]) FROM s
+    UNION ALL SELECT w.conv_id, w.turn, o.k, CASE
+        WHEN len(list_filter(w.kept, lambda x: o.stop > x.a AND o.start < x.b)) > 0 THEN w.kept
+        ELSE list_append(w.kept, {'n': o.n, 'a': o.start, 'b': o.stop}) END
+    FROM walk w JOIN o ON o.conv_id = w.conv_id AND o.turn = w.turn AND o.k = w.k + 1),
+done AS (SELECT conv_id, turn, list_transform(arg_max(kept, k), lambda x: x.n) AS wins FROM walk GROUP BY ALL),
+f AS (SELECT loc.*, list_contains(wins, n) AS win FROM loc JOIN done USING (conv_id, turn))
+SELECT conv_id, turn, CAST(count(*) AS INT) AS segments, CAST(count(*) FILTER (WHERE win) AS INT) AS placed, string_agg(concat_ws(':', n,
+    CASE WHEN win THEN start END, CASE WHEN win THEN stop END, CASE WHEN hit IS NOT NULL AND NOT win THEN '""" + E.OVERLAP_REASON + r"""' END),
+    '|' ORDER BY CASE WHEN win THEN start ELSE 1000000000 END, n) AS places FROM f GROUP BY ALL"""
+
+
+@query("placed_segments", "E7 E11", PLACED)
 def placed_segments(t: Tables):
     rows = _segments(t).withColumn("p", E.place_segments(F.col("text"), F.col("s")))
     return rows.select("conv_id", "turn", E.coverage(F.col("p")).alias("c"),
