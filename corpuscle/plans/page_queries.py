@@ -28,7 +28,31 @@ def _lines():
     return F.split("text", "\n")
 
 
-@query("page_blocks", "P1")
+# Tags one by one: an element's number counts the start tags before it, its text lies before its end.
+BLOCKS = """
+WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<(script|style)([^>]*)>.*?</(script|style)>',
+        '<\\1\\2></\\1>', 'g'), '(?s)<!--.*?-->', '<!c>', 'g') AS h FROM pages),
+p AS (SELECT page_id, unnest(string_split(h, '<')[2:]) AS piece, generate_subscripts(string_split(h, '<')[2:], 1) AS i FROM a),
+t AS (SELECT page_id, i, lower(regexp_extract(piece, '^/?([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag,
+        starts_with(piece, '/') AS ends, regexp_extract(piece, 'class="([^"]*)"', 1) AS css,
+        regexp_extract(piece, 'href="([^"]*)"', 1) AS href, regexp_replace(piece, '^[^>]*>', '') AS raw FROM p),
+s AS (SELECT *, NOT ends AND tag NOT IN ('', 'br', 'img', 'meta', 'link', 'hr', 'input') AS opens FROM t),
+n AS (SELECT *, count(*) FILTER (WHERE opens) OVER (PARTITION BY page_id ORDER BY i) - 1 AS number,
+        contains(css, 'ad') OR (NOT ends AND tag IN ('script', 'style')) AS junk FROM s),
+b AS (SELECT page_id, i, number, tag, css, href FROM n WHERE opens AND NOT junk
+      AND tag IN ('p', 'li', 'tr', 'h1', 'h2', 'h3', 'h4', 'a')),
+e AS (SELECT b.page_id, b.i, min(n.i) AS stop FROM b JOIN n ON n.page_id = b.page_id AND n.i > b.i AND (
+        (n.ends AND n.tag = b.tag) OR (b.tag = 'p' AND n.tag IN ('p', 'div', 'ul', 'ol', 'h1', 'h2', 'h3', 'h4', 'table', 'pre',
+         'hr', 'form', 'blockquote', 'article', 'section', 'footer', 'header', 'main', 'body')))
+      GROUP BY ALL),
+x AS (SELECT b.*, string_agg(CASE WHEN n.junk THEN '' ELSE n.raw END, ' ' ORDER BY n.i) AS raw
+      FROM b JOIN e USING (page_id, i) JOIN n ON n.page_id = b.page_id AND n.i >= b.i AND n.i < e.stop GROUP BY ALL),
+u AS (SELECT *, trim(regexp_replace(replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'),
+        '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM x)
+SELECT page_id, CAST(number AS INT) AS block_no, tag, css AS css_class, text, href FROM u WHERE text <> '' OR href <> ''"""
+
+
+@query("page_blocks", "P1", BLOCKS)
 def page_blocks(t: Tables):
     return H.extract_blocks(t.pages, rules=RULES)
 
@@ -106,7 +130,14 @@ def bylines(t: Tables):
     return lines.where(P.is_byline(F.col("line")))
 
 
-@query("page_tables", "P9")
+@query("page_tables", "P9", """
+WITH u AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<ul>(.*?)</ul>', 1)) AS body,
+                  generate_subscripts(regexp_extract_all(html, '(?s)<ul>(.*?)</ul>', 1), 1) AS t FROM pages),
+x AS (SELECT page_id, t, regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS a,
+             regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS b FROM u),
+k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY t) - 1 AS table_no FROM x WHERE len(a) >= 2)
+SELECT page_id, CAST(table_no AS INT) AS table_no, CAST(generate_subscripts(a, 1) - 1 AS INT) AS row_no,
+       concat(trim(unnest(a)), '|', trim(unnest(b))) AS cells FROM k""")
 def page_tables(t: Tables):
     """The navigation list of every page, rewritten as a table and read back."""
     as_table = F.regexp_replace(F.regexp_replace("html", "<ul>", "<table>"), "</ul>", "</table>")

@@ -6,12 +6,15 @@ DataFrame work on narrow rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Elements that hold no readable text, and class parts of adverts,
 # author boxes and hidden instructions to machines.
@@ -38,29 +41,35 @@ class PageRules:
 
 
 class _Open:
-    """An open element: its class, collected text pieces, and whether it nests a block."""
+    """An open element and where its text and its inner blocks begin."""
 
-    __slots__ = ("tag", "css", "href", "pieces", "number", "nests", "junk")
+    __slots__ = ("tag", "css", "href", "number", "junk", "text_from", "blocks_from")
 
-    def __init__(self, tag: str, css: str, href: str, number: int, junk: bool) -> None:
+    def __init__(self, tag: str, css: str, href: str, number: int, junk: bool, text_from: int, blocks_from: int) -> None:
         self.tag, self.css, self.href, self.number, self.junk = tag, css, href, number, junk
-        self.pieces: list[str] = []
-        self.nests = False
+        self.text_from, self.blocks_from = text_from, blocks_from
 
 
 class _Page(HTMLParser):
-    """Collects leaf blocks, anchors, text lines and tables of one page."""
+    """Collects leaf blocks, anchors, text lines and tables of one page.
+
+    Text is kept once, in pieces; an element is the interval of pieces that came while
+    it was open.  So the work follows the size of the page, not the depth of it.
+    """
 
     def __init__(self, rules: PageRules) -> None:
         super().__init__(convert_charrefs=True)
         self.rules = rules
         self.stack: list[_Open] = []
+        self.open_tags: Counter[str] = Counter()
+        self.pieces: list[str] = []
+        self.nested = 0                       # blocks that count as nested, opened so far
         self.blocks: list[tuple[int, str, str, str, str]] = []
         self.lines: list[str] = []
-        self.tables: list[list[list[list[str]]]] = []
+        self.tables: list[list[list[str]]] = []
         self.open_tables: list[list] = []
         self.open_rows: list[list] = []
-        self.open_cells: list[list[str]] = []
+        self.open_cells: list[tuple[list[str], int]] = []
         self.count = 0
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -74,10 +83,9 @@ class _Page(HTMLParser):
             self._close_open(tag, {"li": ("ul", "ol"), "tr": ("table",)}[tag])
         junk = (bool(self.stack) and self.stack[-1].junk) or tag in self.rules.junk_tags or any(
             part in css for part in self.rules.junk_classes)
-        if tag in NESTING_TAGS:
-            for element in self.stack:
-                element.nests = True
-        self.stack.append(_Open(tag, css, values.get("href") or "", self.count, junk))
+        self.nested += tag in NESTING_TAGS
+        self.stack.append(_Open(tag, css, values.get("href") or "", self.count, junk, len(self.pieces), self.nested))
+        self.open_tags[tag] += 1
         self.count += 1
         if junk:
             return
@@ -91,25 +99,32 @@ class _Page(HTMLParser):
                 rows.append(row)
             self.open_rows.append(row)
         elif tag in ("td", "th"):
-            cell: list[str] = []
+            cell: list[str] = []              # its text, when it is closed
             for row in self.open_rows:
                 row.append(cell)
-            self.open_cells.append(cell)
+            self.open_cells.append((cell, len(self.pieces)))
 
     def _close_open(self, tag: str, borders: Sequence[str]) -> None:
+        if not self.open_tags[tag]:
+            return
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth].tag == tag:
                 while len(self.stack) > depth:
-                    self._finish(self.stack.pop())
+                    self._finish(self._pop())
                 return
             if self.stack[depth].tag in (*borders, "td", "th", "div", "article", "body"):
                 return
 
+    def _pop(self) -> _Open:
+        element = self.stack.pop()
+        self.open_tags[element.tag] -= 1
+        return element
+
     def handle_endtag(self, tag: str) -> None:
-        if not any(element.tag == tag for element in self.stack):
+        if not self.open_tags[tag]:
             return
         while self.stack:
-            element = self.stack.pop()
+            element = self._pop()
             self._finish(element)
             if element.tag == tag:
                 break
@@ -122,21 +137,18 @@ class _Page(HTMLParser):
         elif element.tag == "tr" and self.open_rows:
             self.open_rows.pop()
         elif element.tag in ("td", "th") and self.open_cells:
-            self.open_cells.pop()
-        is_block = element.tag in BLOCK_TAGS and not element.nests
+            cell, begin = self.open_cells.pop()
+            cell.append(" ".join(" ".join(self.pieces[begin:]).split()))
+        is_block = element.tag in BLOCK_TAGS and element.blocks_from == self.nested
         if is_block or element.tag == "a":
-            text = " ".join(self.rules.joiner.join(element.pieces).split())
+            text = " ".join(self.rules.joiner.join(self.pieces[element.text_from:]).split())
             if text or element.href:
                 self.blocks.append((element.number, element.tag, element.css, text, element.href))
 
     def handle_data(self, data: str) -> None:
         if self.stack and self.stack[-1].junk:
             return
-        for element in self.stack:
-            if element.tag in BLOCK_TAGS or element.tag == "a":
-                element.pieces.append(data)
-        for cell in self.open_cells:
-            cell.append(data)
+        self.pieces.append(data)
         line = " ".join(data.split())
         if line:
             self.lines.append(line)
@@ -144,26 +156,32 @@ class _Page(HTMLParser):
     def finish(self) -> "_Page":
         self.close()
         while self.stack:
-            self._finish(self.stack.pop())
+            self._finish(self._pop())
         return self
 
 
-def _scan(pages: DataFrame, key: str, html: str, rules: PageRules, schema: str, rows_of) -> DataFrame:
-    key_type = pages.schema[key].dataType.simpleString()
-    names = [part.strip().split(" ")[0] for part in schema.replace("ARRAY<STRING>", "x").split(",")]
+PAGES = 64           # pages that are parsed before their rows go out
+
+
+def _scan(pages: DataFrame, key: str, html: str, rules: PageRules, ddl: str, rows_of) -> DataFrame:
+    """Rows of all pages, of ``PAGES`` of them in one Arrow batch."""
+    schema = T._parse_datatype_string(f"{key} {pages.schema[key].dataType.simpleString()}, {ddl}")
+    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page_key, text in zip(batch[key], batch[html]):
-                page = _Page(rules)
-                page.feed(text or "")
-                rows = rows_of(page.finish())
-                if rows:
-                    frame = pd.DataFrame(rows, columns=names)
-                    frame.insert(0, key, page_key)
-                    yield frame
+            for start in range(0, batch.num_rows, PAGES):
+                part = batch.slice(start, PAGES)
+                out: list[tuple] = []
+                for page_key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    page = _Page(rules)
+                    page.feed(text or "")
+                    out += [(page_key, *row) for row in rows_of(page.finish())]
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {key_type}, {schema}")
+    return pages.select(key, html).mapInArrow(run, schema)
 
 
 def extract_blocks(pages: DataFrame, key: str = "page_id", html: str = "html",
@@ -186,7 +204,7 @@ def extract_tables(pages: DataFrame, key: str = "page_id", html: str = "html", m
         kept = [t for t in page.tables if len(t) >= minimum]
         for table_no, rows in enumerate(kept):
             for row_no, row in enumerate(rows):
-                out.append((table_no, row_no, [" ".join(" ".join(c).split()) for c in row]))
+                out.append((table_no, row_no, ["".join(c) for c in row]))
         return out
 
     return _scan(pages, key, html, rules, TABLE_SCHEMA, rows_of)

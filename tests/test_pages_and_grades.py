@@ -188,3 +188,15 @@ def test_run_verdicts(rows):
     assert values(O.run_verdicts(df), "file", "state", "message") == [
         ("f", "error", "tat ca 2 trang deu loi: e1"),
         ("g", "done", "loi o trang 2 (cac trang khac da xong)"), ("h", "done", None)]
+
+
+def test_deep_pages_take_linear_time(rows):
+    """Stray end tags, deep nesting and many blocks; text is kept once."""
+    import time
+
+    page = "<div>" * 20_000 + "x" + "</span>" * 20_000 + "<b>" * 5_000 + "<p>a <i>b</i></p>" * 5_000
+    pages = rows([(1, page), (2, None), (3, "")], "page_id INT, html STRING")
+    began = time.perf_counter()
+    got = H.extract_blocks(pages).groupBy("page_id", "tag", "text").count().collect()
+    assert [tuple(r) for r in got] == [(1, "p", "a b", 5_000)]
+    assert time.perf_counter() - began < 20
