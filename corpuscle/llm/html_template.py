@@ -46,12 +46,19 @@ HOLDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td
 # element holds or lacks.
 SIDE = frozenset("""ad ads advert advertisement adverts aside banner breadcrumb breadcrumbs comment comments consent
     cookie cookies disqus footer header masthead menu modal nav navbar navigation notice notices popup promo
-    related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split())
+    related reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget adsbygoogle""".split())
+# Words behind such a name that only say what kind of box it is (``comments-list``, ``ad-container``).
+BOXES = frozenset("area block box buttons container form inner item items links list section slot thread unit wrap wrapper".split())
 FLAGS = frozenset("has have no non not with without hide hidden show".split())
 NEVER = frozenset(["html", "body", "main"])      # hold the article, whatever their class says
 TAG = re.compile(r"<(?:!--|([!?])|(/?)([a-zA-Z][^\s/>]*))")
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+# The rest of a tag: a > in a quoted value does not end it.
+REST = re.compile(r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>""")
+ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORDS = re.compile(r"[^a-z]+")
+CAPITAL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+FORM = re.compile("<form", re.I)
+FRAME = re.compile(r"<(/?form|article|main|h1)\b", re.I)
 
 
 class Node:
@@ -63,10 +70,28 @@ class Node:
 
 def names_side(name: str) -> bool:
     """Does a class, id or role name say that its element is not text?"""
-    parts = re.split(r"[-_]+", name.strip("-_"))
+    parts = re.split(r"[-_]+", CAPITAL.sub("-", name).strip("-_").lower())
+    while len(parts) > 1 and parts[-1] in BOXES:
+        parts.pop()
     return parts[-1] in SIDE and FLAGS.isdisjoint(parts[:-1])
 
 
+def wrapping_forms(page: str) -> set[int]:
+    """Where forms begin that hold an article, main or first heading: they wrap the page."""
+    found, open_ = set(), []
+    for m in FRAME.finditer(page):
+        name = m[1].lower()
+        if name == "form":
+            open_.append(m.start())
+        elif name == "/form":
+            if open_:
+                open_.pop()
+        else:
+            found.update(open_)
+            open_.clear()
+    return found
+
+
 def mix(a: int, b: int) -> int:
     return ((a ^ (a >> 29)) * 0x9E3779B97F4A7C15 + b) & MASK
 
@@ -76,10 +101,13 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
 
     One pass over the page.  Elements may be left open: a block tag ends an open
     paragraph, list items and cells end each other, and everything ends with the page.
+    An inline element made for an advert or the like hides its text without ending a block.
     """
     page = page or ""
     root = Node("", 1, False, False, False)
     stack = [root]
+    opened: Counter[str] = Counter()
+    wraps = wrapping_forms(page) if FORM.search(page) else frozenset()
     at, size = 0, len(page)
 
     def text(a: int, b: int) -> Iterator[tuple[str, int, Node, str]]:
@@ -91,7 +119,13 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
     def close(upto: int) -> Iterator[tuple[str, int, Node, str]]:
         while len(stack) > upto:
             node = stack.pop()
-            yield ">", mix(node.path, 62), node, ""
+            opened[node.tag] -= 1
+            if node.tag not in INLINE:
+                yield ">", mix(node.path, 62), node, ""
+
+    def push(node: Node) -> None:
+        stack.append(node)
+        opened[node.tag] += 1
 
     while True:
         found = TAG.search(page, at)
@@ -105,12 +139,26 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
             at = size if end < 0 else end + len(mark)
             continue
         end = page.find(">", found.end())
+        if end >= 0 and (page.count('"', found.end(), end) % 2 or page.count("'", found.end(), end) % 2):
+            rest = REST.match(page, found.end())        # a quote is open at the first >
+            end = rest.end() - 1 if rest else end
         attributes, at = (page[found.end():], size) if end < 0 else (page[found.end():end], end + 1)
-        if name in INLINE:
+        if name in INLINE and not found[2]:
             if name in ("br", "img"):
                 yield "b", 0, stack[-1], " "
+            elif name not in VOID and "=" in attributes and ATTRIBUTE.search(attributes):
+                above = stack[-1]
+                if any(names_side(n) for m in ATTRIBUTE.finditer(attributes) for n in (m[2] or m[3] or m[4] or "").split()):
+                    push(Node(name, mix(above.path, 61), True, above.main, above.article))
+                elif opened[name]:
+                    push(Node(name, above.path, above.side, above.main, above.article))
+            elif opened[name]:          # one inside an advert: its end is not the advert's
+                above = stack[-1]
+                push(Node(name, above.path, above.side, above.main, above.article))
             continue
         if found[2]:
+            if not opened[name]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == name:
                     yield from close(depth)
@@ -118,22 +166,26 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
                 if stack[depth].tag in MAIN and name in ("p", "div", "li", "ul", "ol"):
                     break           # a stray end tag does not end the article
             continue
-        if stack[-1].tag == "p" or stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and name[:1] == "h":
-            yield from close(len(stack) - 1)
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in HOLDS.get(name, (stack[depth].tag,)):
-                break
-            if stack[depth].tag in CLOSES[name]:
-                yield from close(depth)
-                break
-        value = " ".join(m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)).lower()
-        names = WORDS.split(value)
+        top = len(stack) - 1
+        while stack[top].tag in INLINE:
+            top -= 1
+        if stack[top].tag == "p" or stack[top].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and name[:1] == "h":
+            yield from close(top)
+        if name in HOLDS and any(opened[t] for t in CLOSES[name]):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in HOLDS[name]:
+                    break
+                if stack[depth].tag in CLOSES[name]:
+                    yield from close(depth)
+                    break
+        value = " ".join(m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes))
+        names = WORDS.split(value.lower())
         above = stack[-1]
         # An article is side only in another one, as a comment on it may be.
         named = name not in NEVER and (name != "article" or above.article) and any(map(names_side, value.split()))
         kind = " ".join([name, *sorted(n for n in set(names) if n)])
         node = Node(name, mix(above.path, zlib.crc32(kind.encode("utf-8", "surrogatepass"))),
-                    above.side or name in OTHER or named, above.main or name in MAIN,
+                    above.side or name in OTHER and found.start() not in wraps or named, above.main or name in MAIN,
                     above.article or name == "article")
         yield "<", mix(node.path, 60), node, ""
         if name in VOID or attributes.endswith("/") and name not in RAW:
@@ -141,9 +193,9 @@ def events(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = size if not end else end.start()
-            stack.append(node)
+            push(node)
         else:
-            stack.append(node)
+            push(node)
     yield from text(at, size)
     yield from close(1)
 
@@ -174,28 +226,29 @@ def _occurrences(pages: DataFrame) -> DataFrame:
     """(host, token, n, mark): on how many pages, and a fingerprint of the occurrence vector.
 
     The fingerprint is the sum of a hash of (page, count), the same for two tokens only
-    if their vectors agree; sums combine before the exchange.  Token 0 counts the pages.
+    if their vectors agree; sums combine before the exchange.  ``pages`` are distinct.
     """
     def make() -> Callable[[dict], dict]:
         def work(part: dict) -> dict:
             out: dict = {"host": [], "token": [], "mark": []}
             for host, page_id, page in zip(part["host"], part["page"], part["html"]):
-                for token, n in (Counter(tokens(page)) + Counter([0])).items():
+                for token, n in Counter(tokens(page)).items():
                     out["host"].append(host)
                     out["token"].append(token)
                     out["mark"].append(mix(mix(page_id & MASK, n), 7))
             return out
         return work
 
-    return map_slices(_once(pages), make, "host STRING, token BIGINT, mark BIGINT", 64).groupBy("host", "token").agg(
+    return map_slices(pages, make, "host STRING, token BIGINT, mark BIGINT", 64).groupBy("host", "token").agg(
         F.count("*").alias("n"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("mark"))
 
 
-def _classes(counted: DataFrame, support: float, least_pages: int) -> DataFrame:
+def _classes(pages: DataFrame, support: float, least_pages: int) -> DataFrame:
     """(host, classes): the token sets that share a vector and are frequent and large enough."""
-    sizes = counted.where("token = 0").select("host", F.col("n").alias("pages")).where(F.col("pages") >= least_pages)
+    # Pages are counted without being parsed.
+    sizes = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     # Tokens of fewer pages than any template needs, most of all, go before they are brought together.
-    often = counted.where("token <> 0").where(F.col("n") >= support * least_pages)
+    often = _occurrences(pages).where(F.col("n") >= support * least_pages)
     return often.join(sizes, "host").where(F.col("n") >= support * F.col("pages")) \
         .groupBy("host", "mark").agg(F.sort_array(F.collect_list("token")).alias("tokens"), F.max("n").alias("n")) \
         .where(F.size("tokens") >= LEAST_TOKENS) \
@@ -237,7 +290,7 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", body: st
     Hosts with fewer than ``least_pages`` pages have none.
     """
     hosted = _hosted(pages, key, url, body)
-    classes = cut_lineage(_classes(_occurrences(hosted), support, least_pages))
+    classes = cut_lineage(_classes(_once(hosted), support, least_pages))
 
     def make() -> Callable[[dict], dict]:
         def work(part: dict) -> dict:

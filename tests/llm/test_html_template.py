@@ -1,5 +1,8 @@
 """Classes, nesting and text of small hosts."""
 
+import time
+from collections import Counter, defaultdict
+
 from corpuscle.llm import html_template as h
 
 DDL = "page_id LONG, url STRING, html STRING, host STRING, text STRING, template STRING"
@@ -89,3 +92,63 @@ def test_class_words_of_wrappers():
     assert h.main_text("<article class=sponsored>a<article class=comment>b</article></article>", set()) == "a"
     for name in ("sidebar", "left-sidebar", "site_header", "Nav", "x ad"):
         assert h.main_text(f"<div class='{name}'>a</div><p>x", set()) == "x", name
+
+
+def test_quoted_signs_do_not_end_a_tag():
+    assert h.main_text('<div title="a > b" class="x">Hello</div>', set()) == "Hello"
+    assert h.main_text("<p title='a > b' class=ad>x</p>y", set()) == "y"
+    assert h.main_text("<div title=it's>x</div><p>y's", set()) == "x\n\ny's"
+    assert h.main_text('<div a="b>x</div>', set()) == "x"                    # a quote that is never closed
+
+
+def test_inline_adverts():
+    page = ('<article><p>Hello <ins class="adsbygoogle">Buy</ins>big <span class="ad">x<span>y</span>z</span>world'
+            ' <a class="share" href=/>s</a><a href=/u>link</a></p><p>b <ins>new</ins></p></article>')
+    assert h.main_text(page, set()) == "Hello big world link\n\nb new"
+    assert h.main_text("<p>a <span class=ad>b<p>c", set()) == "a\n\nc"       # left open
+
+
+def test_boxes_of_comments_and_adverts():
+    for name in ("comments-list", "comment-list", "ad-container", "adBanner", "siteHeader", "commentsSection", "nav-links"):
+        assert h.main_text(f'<article><p>t</p><div class="{name}"><p>c</p></div></article>', set()) == "t", name
+    for name in ("list", "container", "header-fixed", "page-with-nav-list", "adapter", "content-area"):
+        assert h.main_text(f'<div class="{name}"><p>c</p></div>', set()) == "c", name
+    assert h.main_text('<p data-id="social" data-role="nav">kept</p><p id=social>gone</p>', set()) == "kept"
+
+
+def test_forms_around_the_page():
+    assert h.main_text("<form id=f><div><h1>T</h1><article><p>x</p><form>find</form></article></div></form>", set()) == "x"
+    assert h.main_text("<form><h1>T</h1><p>x</p></form>", set()) == "T\n\nx"
+    assert h.main_text("<p>a</p><form><p>name</p></form>", set()) == "a"
+
+
+def test_stray_tags_take_linear_time():
+    began = time.perf_counter()
+    h.main_text("<div>" * 20_000 + "</section>" * 20_000 + "<li>x" * 20_000, set())
+    h.main_text("<p " + "a= " * 20_000 + "x" + '<p a="' * 20_000 + "<a b='" * 20_000, set())
+    assert time.perf_counter() - began < 10
+
+
+def brute_classes(host, support, least_tokens):
+    """Occurrence vectors compared as they are, page by page."""
+    counts = [Counter(h.tokens(p)) for p in host]
+    by_vector = defaultdict(set)
+    for token in {t for c in counts for t in c}:
+        vector = tuple(c[token] for c in counts)
+        if sum(n > 0 for n in vector) >= support * len(host):
+            by_vector[vector].add(token)
+    return {frozenset(own) for own in by_vector.values() if len(own) >= least_tokens}
+
+
+def test_classes_equal_brute_force(spark):
+    """Fingerprints group the tokens that whole vectors do; invalid classes go, valid ones keep one order and gap."""
+    hosts = {"a.b": [page(i) for i in range(12)], "c.d": [boxed(i) for i in range(9)], "e.f": [page(i, "div") + boxed(i) for i in range(10)]}
+    pages = [(i, f"http://{host}/{i}", p) for host, own in hosts.items() for i, p in enumerate(own)]
+    found = {r.host: r.template for r in h.templates(rows(spark, pages)).collect()}
+    for host, own in hosts.items():
+        classes = sorted(brute_classes(own, h.SUPPORT, h.LEAST_TOKENS), key=lambda c: sorted(c))
+        kept = {frozenset(c.order) for c in found[host]}
+        assert kept and kept <= set(classes)
+        for c in found[host]:
+            runs = [[t for t in h.tokens(p) if t in set(c.order)] for p in own]
+            assert all(run == c.order * (len(run) // len(c.order)) for run in runs)
