@@ -62,6 +62,20 @@ def test_stages_one_by_one(spark, tmp_path):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_long_white_space_and_repeated_words(spark, tmp_path):
+    """Texts that once broke the pattern engine or the tiling go through their stages."""
+    texts = {1: "the house" + " " * 1_200_000 + "garden", 2: "la " * 100_000, 3: "\n" * 1_200_000, 4: "la di " * 20_000}
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()],
+                                 "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    spark.createDataFrame([(1, "la " * 2_000)], "item_id LONG, text STRING").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["decontamination"](spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == [1, 3, 4]
+    library = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    for r in stages["tokens"](spark, left, str(tmp_path)).collect():
+        assert r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids
+
+
 def test_empty_tables(spark, tmp_path):
     corpus(spark, str(tmp_path / "full"))
     docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
@@ -82,6 +96,6 @@ def test_clashing_columns(spark, tmp_path):
 
 def test_entry_lists_every_operator():
     code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as e; q = e.queries(); "
-            "assert {f'op{i}' for i in range(1, 11)} <= {k.split('_')[0] for k in q} and 'pipeline' in q; "
+            "assert {f'op{i}' for i in range(1, 14)} <= {k.split('_')[0] for k in q} and 'pipeline' in q; "
             "assert set(e.oracle_sql()) <= set(q)" % str(ROOT))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT)
