@@ -55,7 +55,8 @@ def no_broadcast(spark):
 
 
 @pytest.mark.parametrize("name,scans,exchanges", [
-    ("block_context", 1, 1), ("bare_article_filter", 2, 12), ("cosine_pairs", 2, 4)])
+    ("block_context", 1, 1), ("bare_article_filter", 2, 12), ("cosine_pairs", 2, 4),
+    ("article_pairing", 1, 0), ("best_reference", 1, 0), ("dictionary_mentions", 1, 0)])
 def test_few_scans(spark, no_broadcast, name, scans, exchanges):
     text = plan(all_queries()[name].run(spark, FOLDER))
     assert text.count("FileScan") <= scans and text.count("Exchange ") <= exchanges
