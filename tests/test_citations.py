@@ -73,6 +73,37 @@ def test_pairing_equals_brute_force(spark):
     assert values(got, "id", "start", "document") == sorted(want, key=repr)
 
 
+def test_pairing_in_the_row_equals_tables(spark):
+    """Articles and documents of random texts: placed in the row, and as tables of mentions."""
+    rng = random.Random(11)
+    pieces = ["Điều 3", "khoản 2 Điều 10a", "điểm b, khoản 1, điều 7", "Điểm C KHOẢN 4 ĐIỀU 5", "Luật Nhà ở", "Luật Dược 2016",
+              "Nghị định 5/2020/NĐ-CP", "Nghị định số 7/2019/NĐ-CP", "khoản 9", "điểm đ", "và", "." * 60, "x" * 90, ";"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(60)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, t STRING")
+    articles = C.article_mentions(df, "id", "t")
+    want = C.pair_articles(articles, C.document_mentions(df, "id", "t"), "id")
+    columns = ["id", "start", "stop", "quoted", "point", "clause", "article", "document"]
+    got = values(C.cited_articles(df, "id", "t"), *columns)
+    assert got == values(want, *columns) and len(got) > 300
+
+
+def _plain_articles(text):
+    import re
+
+    text = " ".join((text or "").split())
+    pattern = r"(?i)(?:điểm\s+([a-zđ])\s*[,)]?\s+)?(?:khoản\s+(\d+)\s*[,)]?\s+)?điều\s+(\d+[a-zđ]?)"
+    return [(m.start(), m.end(), *((m[i] or "").lower() for i in (1, 2, 3))) for m in re.finditer(pattern, text)]
+
+
+def test_reading_backwards_equals_one_pattern(spark):
+    rng = random.Random(12)
+    pieces = ["điều 3", "Điều 5b", "khoản 2", "khoản 2,", "khoản 7 )", "điểm a", "điểm đ ,", "điểm bb", "khoản x", "điều", ",", "x"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, t STRING")
+    got = values(C.article_mentions(df, "id", "t"), "id", "start", "stop", "point", "clause", "article")
+    assert got == sorted(((i, *m) for i, t in enumerate(texts) for m in _plain_articles(t)), key=repr)
+
+
 def test_best_reference(rows):
     df = rows([(1, TEXT), (2, "Điều 9 nói. Luật Dược quy định."), (3, "không có gì")],
               "id INT, t STRING")
