@@ -3,11 +3,13 @@
 import random
 
 import pytest
+import numpy as np
 from conftest import values
 from pyspark.sql import functions as F
 
 from corpuscle.operators import catalogue as K
 from corpuscle.operators import editions as E
+from corpuscle.operators import likeness as N
 from corpuscle.operators import lists as L
 from corpuscle.operators import profiling as P
 from corpuscle.operators import search as Q
@@ -278,3 +280,42 @@ def test_chains_of_better_pairs_end(spark, monkeypatch):
             want.append((a, b))
     assert got == sorted(want) and len(want) == 44
     assert len(written) <= 1 + 2 * E.ROUNDS
+
+
+def test_linked_entries_count_every_pair(spark):
+    """Links and classes over several blocks and pieces against all pairs of trigram sets."""
+    rng = random.Random(5)
+    stems = ["kinh doanh", "san xuat", "phao hoa", "luat su", "bao ve", "xe may", "dich vu"]
+    make = lambda n: sorted({" ".join(rng.choice(stems) + rng.choice(["", "s", "x1", "qz"])     # noqa: E731
+                                      for _ in range(rng.randint(1, 4))) for _ in range(n)})
+    old, new = make(60), ["", *make(50)]
+    frame = [spark.createDataFrame([(k, 1000 * side + i) for i, k in enumerate(keys)], "key STRING, position BIGINT")
+             for side, keys in enumerate((old, new))]
+    place = [{k: 1000 * side + i for i, k in enumerate(keys)} for side, keys in enumerate((old, new))]
+    pairs = [(place[0][a], place[1][b]) for a in old for b in new if _dice(a, b) >= 0.5]
+    label = {p: p for side in place for p in side.values()}
+    for _ in label:
+        for p, q in pairs:
+            label[p] = label[q] = min(label[p], label[q])
+    links = {p: sum(p in pair for pair in pairs) for p in label}
+    got = N.linked_entries(frame[0].union(frame[0].limit(3)), frame[1], 0.5, E.grams, block=700)
+    assert {r.position: (r.n_links, r.class_id) for r in got.collect()} == {p: (links[p], label[p]) for p in label}
+    assert len(set(label.values())) > 1 and got.count() == len(label)
+    alone = N.linked_entries(frame[0].limit(0), frame[1], 0.5, E.grams)
+    assert {(r.n_links, r.position - r.class_id) for r in alone.collect()} == {(0, 0)}
+
+
+def test_common_tokens_and_labels_of_pieces():
+    """Frequent tokens by the matrix, rare ones by their rows; labels meet across pieces."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(N.DENSE - 40, N.DENSE + 60, rng.integers(1, 50))) for _ in range(40)]
+    size = np.array([len(s) for s in sets])
+    piece = [N._Rows(size[i:j], np.concatenate(sets[i:j]).astype(np.int32)) for i, j in ((0, 25), (25, 40))]
+    want = [[len(np.intersect1d(a, b)) for b in sets[25:]] for a in sets[:25]]
+    assert (piece[0].common(piece[1]) == np.array(want)).all()
+    label, root = np.arange(4, dtype=np.int32), np.full(2, N.NONE)
+    label, root = N._tie(np.array([[True, False], [False, True]]), label, root, slice(0, 2))
+    label, root = N._tie(np.array([[False, True], [False, False]]), label, root, slice(2, 4))
+    assert list(label) == [0, 1, 2, 0] and list(root) == [0, 1]
+    label, root = N._tie(np.array([[True], [True]]), label, root, slice(2, 3))
+    assert list(label) == [0, 0, 0, 0] and list(root) == [0, 0]
