@@ -60,6 +60,11 @@ def upper_median(rows: DataFrame, keys: Sequence[str], value: str, name: str) ->
             .groupBy(*keys).agg(F.min(value).alias(name)))
 
 
+def _reading(rows: DataFrame, position: str) -> list[str]:
+    """The order of lines: by position, lines at one position by their numbers."""
+    return [position, *[c for c in ("block", "par", "line") if c in rows.columns and c != position]]
+
+
 def paragraph_lines(boxes: DataFrame, page: Sequence[str], position: str) -> DataFrame:
     """Mark the lines in front of which a paragraph gap lies.
 
@@ -70,7 +75,8 @@ def paragraph_lines(boxes: DataFrame, page: Sequence[str], position: str) -> Dat
     """
     heights = upper_median(boxes.withColumn("_h", F.col("y1") - F.col("y0")), page, "_h", "_m")
     median = F.when(F.col("_m") == 0, DEFAULT_HEIGHT).otherwise(F.col("_m"))
-    rows = boxes.withColumn("_bottom", F.lag("y1").over(Window.partitionBy(*page).orderBy(position)))
+    rows = boxes.withColumn("_bottom", F.lag("y1").over(
+        Window.partitionBy(*page).orderBy(*_reading(boxes, position))))
     return (rows.join(heights, list(page), "left")
             .withColumn("new_paragraph", F.coalesce(
                 F.col("y0") - F.col("_bottom") > median * GAP_SHARE, F.lit(False)))
@@ -80,7 +86,7 @@ def paragraph_lines(boxes: DataFrame, page: Sequence[str], position: str) -> Dat
 def page_text(lines: DataFrame, page: Sequence[str], position: str) -> DataFrame:
     """Lines of a page as one text with blank lines between paragraphs."""
     rows = lines.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct(
-        position, F.when(F.col("new_paragraph"), F.concat(F.lit("\n"), F.trim("text")))
+        *_reading(lines, position), F.when(F.col("new_paragraph"), F.concat(F.lit("\n"), F.trim("text")))
         .otherwise(F.trim("text")).alias("t")))).alias("_l"))
     text = F.array_join(F.transform("_l", lambda e: e["t"]), "\n")
     return rows.select(*page, strip(F.regexp_replace(text, r"\n{3,}", "\n\n")).alias("text"))

@@ -211,6 +211,15 @@ def test_reading_order(spark):
     assert spark.range(1).select(O.reading_text(lines).alias("x")).first()["x"] == "a b\nc\n\nd"
 
 
+def test_lines_at_one_position_keep_their_numbers_order(rows):
+    """The gap above a line and its place in the text follow one order, also where positions are equal."""
+    boxes = rows([("p", 5, 1, 1, 2, 0, 50, 9, 60, "b"), ("p", 5, 1, 1, 1, 0, 10, 9, 20, "a"),
+                  ("p", 9, 1, 1, 3, 0, 62, 9, 72, "c")],
+                 "page STRING, position INT, block INT, par INT, line INT, x0 INT, y0 INT, x1 INT, y1 INT, text STRING")
+    lines = O.paragraph_lines(boxes, ["page"], "position")
+    assert values(O.page_text(lines, ["page"], "position"), "text") == [("a\n\nb\nc",)]
+
+
 def test_run_verdicts(rows):
     df = rows([("f", 1, "e1"), ("f", 2, "e2"), ("g", 1, ""), ("g", 2, "e"), ("h", 1, None)],
               "file STRING, page INT, error STRING")
