@@ -255,6 +255,16 @@ def test_candidates_of_words_are_complete(spark, share):
     assert len(found) == len({(r.old_key, r.new_key) for r in found})
 
 
+def test_unlike_names_do_not_leave_the_join(spark):
+    """Names that share rare words and little else are told apart by their marks, inside the join."""
+    make = lambda side: [(" ".join([f"w{i % 5}", *(f"{side}{i}x{j}" for j in range(30))]), i) for i in range(40)]
+    old, new = (spark.createDataFrame(make(side), "key STRING, position INT") for side in "ab")
+    found = E.candidate_pairs(old, new, share=0.05, tokens=E.words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and line.count("bit_count") == 2 * E.MARKS for line in plan.splitlines())
+    assert found.count() == 0
+
+
 def test_candidates_stay_within_their_list(spark):
     ddl = "list STRING, key STRING, position INT"
     old = spark.createDataFrame([("x", "sale of fire works", 1), ("y", "sale of arms", 2), (None, "sale", 3)], ddl)
