@@ -292,9 +292,9 @@ def frontier(edges: DataFrame, seeds: DataFrame, keep: Column | None = None,
     ``edges(src, dst)``, ``seeds(node)``.  ``keep`` filters the nodes worth
     following.  With a ``cap`` the work ends with the round that reaches that many
     nodes, and the first ones found are reported.  Each round is written out, so a
-    lost executor repeats one round only.
+    lost executor repeats one round only; so are the distinct links, which every round reads.
     """
-    links = edges.select("src", "dst").distinct()
+    links = cut_lineage(edges.select("src", "dst").distinct())
     seen = cut_lineage(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     last, depth = seen, 0
     while cap <= 0 or seen.count() < cap:

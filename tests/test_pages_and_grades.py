@@ -114,6 +114,15 @@ def test_marker_slice(spark):
     assert (got["b"], got["c"], got["d"]) == (None, "ĐƠN KHỞ"[:7].strip(), None)
 
 
+def test_frontier_reads_its_links_once(rows, monkeypatch):
+    """The distinct links are a written table, not made again in every round."""
+    written = []
+    monkeypatch.setattr(P, "cut_lineage", lambda d, f=P.cut_lineage: written.append(d.columns) or f(d))
+    edges = rows([("a", "b"), ("b", "c"), ("a", "b")], "src STRING, dst STRING")
+    assert values(P.frontier(edges, rows([("a",)], "node STRING"))) == [("a", 0), ("b", 1), ("c", 2)]
+    assert written.count(["src", "dst"]) == 1
+
+
 def test_frontier(rows):
     edges = rows([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("b", "skip")],
                  "src STRING, dst STRING")
