@@ -163,7 +163,9 @@ def annotation_files(t: Tables):
         F.lit('{"file": "'), "s_name", F.lit('", "pages": '), F.col("s_suppkey") % 7,
         F.lit(', "letters": '), letters, F.lit("}")).alias("value"))
     broken = t.spark.range(1).select(F.lit('{"file": "half').alias("value"))
-    files.unionByName(broken).write.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
+    # A small table is one task, which would write all the files one after the other.
+    tasks = 4 * t.spark.sparkContext.defaultParallelism
+    files.unionByName(broken).repartition(tasks).write.option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
     # The merged file lies beside them, under its own name.
     merged = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
     files.limit(100).agg(merged.alias("value")).coalesce(1).write.option("compression", "none").text(f"{folder}-merged")

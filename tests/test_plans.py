@@ -60,3 +60,15 @@ def no_broadcast(spark):
 def test_few_scans(spark, no_broadcast, name, scans, exchanges):
     text = plan(all_queries()[name].run(spark, FOLDER))
     assert text.count("FileScan") <= scans and text.count("Exchange ") <= exchanges
+
+
+def test_annotation_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A file per row of a small table: its one task would write them all."""
+    from corpuscle.plans import all_queries, table_queries
+
+    monkeypatch.setattr(table_queries, "_folder", lambda t: f"{tmp_path}/notes")
+    spark.createDataFrame([(i, f"s{i}", i) for i in range(40)], "s_suppkey BIGINT, s_name STRING, s_nationkey BIGINT") \
+        .coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    assert all_queries()["annotation_files"].run(spark, str(tmp_path)).count() == 40
+    tasks = {p.name.split("-")[1] for p in (tmp_path / "notes").glob("part-*.txt")}
+    assert len(tasks) > 8
