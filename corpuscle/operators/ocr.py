@@ -15,6 +15,7 @@ GOOD = "[^0-9A-Za-zÀ-ỹ]"
 WORD = "[A-Za-zÀ-ỹ]{2,}"
 GOOD_SHARE, GAP_SHARE, ROW_SHARE, DEFAULT_HEIGHT = 0.55, 0.9, 0.6, 10
 WORD_LEVEL, MIN_CONFIDENCE = 5, -5
+ROW_BLOCK = 128      # lines that are laid out in one fold
 # Wording of the run messages.
 QUOTA_MARK, ALL_BAD = "quota theo ngay", "tat ca {} trang deu loi: "
 SOME_BAD = "loi o trang {} (cac trang khac da xong)"
@@ -200,12 +201,6 @@ def save_annotations(payloads: DataFrame, files: DataFrame, now: Column) -> Data
 
 # ---------------------------------------------------------------- detected polygons
 
-def polygon_box(poly: Column) -> Column:
-    xs, ys = F.transform(poly, lambda p: p["x"]), F.transform(poly, lambda p: p["y"])
-    return F.struct(F.array_min(ys).alias("top"), F.array_min(xs).alias("left"),
-                    F.array_max(ys).alias("bottom"), F.array_max(xs).alias("right"))
-
-
 def reading_text(lines: Column) -> Column:
     """Detected lines (text, poly) of one page -> text in reading order.
 
@@ -213,48 +208,56 @@ def reading_text(lines: Column) -> Column:
     top is near the row's running mean; rows are read left to right, with a
     blank line for large gaps.  Without any polygon the texts are just joined.
     """
-    boxed = F.transform(F.filter(lines, lambda x: F.size(x["poly"]) > 0), lambda x: let(
-        polygon_box(x["poly"]), lambda b: F.struct(
-            b["top"].alias("top"), b["left"].alias("left"), b["bottom"].alias("bottom"),
-            x["text"].alias("text"))))
+    boxed = F.transform(F.filter(lines, lambda x: F.size(x["poly"]) > 0), lambda x: F.struct(
+        F.array_min(x["poly"]["y"]).alias("top"), F.array_min(x["poly"]["x"]).alias("left"),
+        F.array_max(x["poly"]["y"]).alias("bottom"), x["text"].alias("text")))
 
     def layout(items: Column) -> Column:
-        heights = F.array_sort(F.transform(items, lambda i: i["bottom"] - i["top"]))
-        middle = let(heights, lambda h: F.element_at(h, F.expr("1") + F.floor(
-            F.size(h) / 2).cast("int")))
+        heights = F.sort_array(F.array_compact(F.transform(items, lambda i: i["bottom"] - i["top"])))
+        middle = F.try_element_at(heights, F.expr("1") + F.floor(F.size(items) / 2).cast("int"))
         height = let(middle, lambda m: F.when(m == 0, F.lit(float(DEFAULT_HEIGHT))).otherwise(m))
-        return let(height, lambda h: let(rows_of(items, h), lambda rows: with_gaps(rows, h)))
-
-    def close_row(cells: Column) -> Column:
-        in_order = F.array_sort(F.transform(cells, lambda c, i: F.struct(
-            c["left"].alias("left"), i.alias("i"), c["text"].alias("text"))))
-        return F.struct(
-            F.array_min(F.transform(cells, lambda c: c["top"])).alias("top"),
-            F.array_max(F.transform(cells, lambda c: c["bottom"])).alias("bottom"),
-            F.trim(F.array_join(F.transform(in_order, lambda c: c["text"]), " ")).alias("text"))
-
-    def rows_of(items: Column, height: Column) -> Column:
-        """Rows in order; only the open row's cells are looked at per step."""
-        start = F.struct(
-            F.lit(None).cast("double").alias("y"),
-            F.expr("CAST(array() AS array<struct<top:double,left:double,bottom:double,"
-                   "text:string>>)").alias("cells"),
-            F.expr("CAST(array() AS array<struct<top:double,bottom:double,text:string>>)")
-            .alias("rows"))
-
-        def step(acc: Column, item: Column) -> Column:
-            near = acc["y"].isNull() | (F.abs(item["top"] - acc["y"]) <= height * ROW_SHARE)
-            y = F.when(acc["y"].isNull() | ~near, item["top"]).otherwise(
-                (acc["y"] + item["top"]) / 2)
+        return let(height, lambda h: let(row_starts(items, h), lambda starts: let(
+            rows_of(items, starts), lambda rows: with_gaps(rows, h))))
+
+    def row_starts(items: Column, height: Column) -> Column:
+        """1-based places where rows begin.
+
+        A fold copies its state at every step.  So it carries the places of one block only,
+        and a fold over the blocks puts them together.
+        """
+        def step(acc: Column, top: Column) -> Column:
+            near = acc["y"].isNull() | (F.abs(top - acc["y"]) <= height * ROW_SHARE)
+
+            def state(y: Column, starts: Column) -> Column:
+                return F.struct(y.alias("y"), (acc["i"] + 1).alias("i"), starts.alias("starts"))
+
+            return F.when(near, state(F.coalesce((acc["y"] + top) / 2, top), acc["starts"])).otherwise(
+                state(top, F.array_append(acc["starts"], acc["i"])))
+
+        def block(acc: Column, first: Column, tops: Column) -> Column:
+            start = F.struct(acc["y"].alias("y"), first.alias("i"), F.expr("CAST(array() AS array<int>)").alias("starts"))
+            return let(F.aggregate(F.slice(tops, first, ROW_BLOCK), start, step), lambda end: F.struct(
+                end["y"].alias("y"), F.array_append(acc["blocks"], end["starts"]).alias("blocks")))
+
+        none = F.expr("named_struct('y', CAST(NULL AS DOUBLE), 'blocks', array(array(1)))")
+        return let(items["top"], lambda tops: F.aggregate(
+            F.sequence(F.lit(1), F.size(tops), F.lit(ROW_BLOCK)), none,
+            lambda acc, first: block(acc, first, tops), lambda acc: F.flatten(acc["blocks"])))
+
+    def rows_of(items: Column, starts: Column) -> Column:
+        def close_row(cells: Column) -> Column:
+            in_order = F.sort_array(F.transform(cells, lambda c, i: F.struct(
+                c["left"].alias("left"), i.alias("i"), c["text"].alias("text"))))
             return F.struct(
-                y.alias("y"),
-                F.when(near, F.array_append(acc["cells"], item)).otherwise(F.array(item))
-                .alias("cells"),
-                F.when(near, acc["rows"]).otherwise(
-                    F.array_append(acc["rows"], close_row(acc["cells"]))).alias("rows"))
+                F.array_min(cells["top"]).alias("top"), F.array_max(cells["bottom"]).alias("bottom"),
+                F.trim(F.array_join(in_order["text"], " ")).alias("text"))
+
+        def cells(at: Column, k: Column) -> Column:
+            # Taken by place: a slice reads the whole page for every row.
+            last = F.coalesce(F.try_element_at(starts, k + 2) - 1, F.size(items))
+            return F.transform(F.sequence(at, last), lambda j: F.element_at(items, j))
 
-        return F.aggregate(items, start, step,
-                           lambda acc: F.array_append(acc["rows"], close_row(acc["cells"])))
+        return F.transform(starts, lambda at, k: let(cells(at, k), close_row))
 
     def with_gaps(rows: Column, height: Column) -> Column:
         return F.array_join(F.transform(rows, lambda r, i: F.when(
@@ -263,5 +266,5 @@ def reading_text(lines: Column) -> Column:
             .otherwise(r["text"])), "\n")
 
     plain = F.array_join(F.transform(lines, lambda x: x["text"]), "\n")
-    return let(F.array_sort(boxed), lambda items: F.when(F.size(items) > 0, strip(layout(items)))
+    return let(F.sort_array(boxed), lambda items: F.when(F.size(items) > 0, strip(layout(items)))
                .otherwise(plain))

@@ -242,14 +242,14 @@ def reading_order(t: Tables):
 
 
 def placed_word(word, i):
-    row = F.floor(i / 7)
     corner = F.struct(
-        (row * 20 + F.floor(row / 5) * 30 + (i * 13) % 5).cast("double").alias("top"),
+        ((i - i % 7) / 7 * 20 + (i - i % 35) / 35 * 30 + (i * 13) % 5).alias("top"),
         ((i % 7) * 90 + (i * 7) % 11).cast("double").alias("left"))
 
     def with_box(at):
+        left, top = at["left"], at["top"]
         return F.struct(word.alias("text"), F.array(*[
-            F.struct((at["left"] + x).alias("x"), (at["top"] + y).alias("y"))
-            for x, y in ((0, 0), (80, 0), (80, 12), (0, 12))]).alias("poly"))
+            F.struct(x.alias("x"), y.alias("y"))
+            for x, y in ((left, top), (left + 80, top), (left + 80, top + 12), (left, top + 12))]).alias("poly"))
 
     return let(corner, with_box)

@@ -3,6 +3,7 @@
 from conftest import values
 from pyspark.sql import functions as F
 
+from corpuscle.functions.bind import let
 from corpuscle.operators import evaluation as E
 from corpuscle.operators import ocr as O
 from corpuscle.operators import pages as P
@@ -220,6 +221,23 @@ def test_reading_order(spark):
     assert spark.range(1).select(O.reading_text(lines).alias("x")).first()["x"] == "a b\nc\n\nd"
 
 
+def test_long_pages_are_laid_out_in_linear_time(spark):
+    """One line per row, far more rows than one block holds; a gap above every thousandth."""
+    import time
+
+    n = 60_000
+    page = F.transform(F.sequence(F.lit(1), F.col("id").cast("int")), lambda i: let(
+        (i * 20 + F.floor(i / 1000) * 50).cast("double"), lambda top: F.struct(
+            F.concat(F.lit("w"), i.cast("string")).alias("text"), F.array(
+                F.struct(F.lit(0.0).alias("x"), top.alias("y")),
+                F.struct(F.lit(9.0).alias("x"), (top + 12).alias("y"))).alias("poly"))))
+    pages = spark.range(n, n + 1).select(page.alias("lines"))
+    began = time.perf_counter()
+    text = pages.select(O.reading_text(F.col("lines")).alias("x")).first()["x"]
+    assert time.perf_counter() - began < 15
+    assert text == "\n".join(("\n" if i % 1000 == 0 else "") + f"w{i}" for i in range(1, n + 1))
+
+
 def test_lines_at_one_position_keep_their_numbers_order(rows):
     """The gap above a line and its place in the text follow one order, also where positions are equal."""
     boxes = rows([("p", 5, 1, 1, 2, 0, 50, 9, 60, "b"), ("p", 5, 1, 1, 1, 0, 10, 9, 20, "a"),
