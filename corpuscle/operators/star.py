@@ -177,9 +177,10 @@ def doomed_facts(facts: DataFrame, *, ids: DataFrame | Sequence[int] | None = No
         hit = hit | F.col("title").ilike(title_like)
     if isinstance(ids, DataFrame):
         marks = ids.select(F.col(key).alias("_id")).distinct().withColumn("_hit", F.lit(True))
-        rows = facts.join(marks, facts[key] == marks["_id"], "left").drop("_id")
-        return rows.where(F.coalesce("_hit", F.lit(False)) | F.coalesce(hit, F.lit(False))) \
-            .drop("_hit")
+        # The tests are made before the join, so their columns do not travel for them.
+        tested = facts.withColumn("_test", F.coalesce(hit, F.lit(False)))
+        rows = tested.join(marks.hint("shuffle_hash"), tested[key] == marks["_id"], "left").drop("_id")
+        return rows.where(F.coalesce("_hit", F.lit(False)) | F.col("_test")).drop("_hit", "_test")
     if ids:
         hit = hit | F.col(key).isin(list(ids))
     return facts.where(F.coalesce(hit, F.lit(False)))
@@ -187,8 +188,12 @@ def doomed_facts(facts: DataFrame, *, ids: DataFrame | Sequence[int] | None = No
 
 def delete_facts(facts: DataFrame, doomed: DataFrame, children: dict[str, DataFrame],
                  key: str = "question_id") -> dict[str, DataFrame]:
-    """Facts without the doomed ones, and the child rows that still have a fact."""
-    gone = doomed.select(key).distinct()
+    """Facts without the doomed ones, and the child rows that still have a fact.
+
+    The doomed keys are hashed and facts and children pass by them: narrow rows compress so
+    well that a sort of one shuffle read would hold millions of them.
+    """
+    gone = doomed.select(key).distinct().hint("shuffle_hash")
     out = {"facts": facts.join(gone, key, "left_anti")}
     for name, child in children.items():
         out[name] = child.join(gone, key, "left_anti")

@@ -72,3 +72,9 @@ def test_annotation_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch
     assert all_queries()["annotation_files"].run(spark, str(tmp_path)).count() == 40
     tasks = {p.name.split("-")[1] for p in (tmp_path / "notes").glob("part-*.txt")}
     assert len(tasks) > 8
+
+
+def test_deletes_pass_by_hashed_keys(spark, no_broadcast):
+    """No sort of the facts and children: it would hold millions of narrow rows per task."""
+    text = plan(all_queries()["cascade_delete"].run(spark, FOLDER))
+    assert text.count("ShuffledHashJoin") == 4 and "SortMergeJoin" not in text
