@@ -219,12 +219,13 @@ def question_catalogue(question: DataFrame, question_document: DataFrame,
     """Per question and document: catalogue items reachable through the document.
 
     Items are counted per document and catalogue first, so a document with very
-    many items adds one row to the join instead of all its items.
+    many items adds one row to the join instead of all its items.  Links of documents
+    without items are dropped before links are counted.
     """
     per_document = item.where(F.col("document_id").isNotNull()).groupBy(
         "document_id", "catalogue_id").agg(F.count(F.lit(1)).alias("n"))
-    links = question_document.groupBy("question_id", "document_id").agg(
-        F.count(F.lit(1)).alias("links"))
+    listed = question_document.join(per_document.select("document_id"), "document_id", "left_semi")
+    links = listed.groupBy("question_id", "document_id").agg(F.count(F.lit(1)).alias("links"))
     docs = document.select("document_id", "number", F.col("name").alias("document"))
     return (links.join(per_document, "document_id").join(docs, "document_id")
             .join(question.select("question_id", "title"), "question_id")

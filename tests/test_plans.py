@@ -78,3 +78,10 @@ def test_deletes_pass_by_hashed_keys(spark, no_broadcast):
     """No sort of the facts and children: it would hold millions of narrow rows per task."""
     text = plan(all_queries()["cascade_delete"].run(spark, FOLDER))
     assert text.count("ShuffledHashJoin") == 4 and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["question_catalogue", "items_per_question"])
+def test_links_without_items_are_dropped_before_they_are_counted(spark, name):
+    text = plan(all_queries()[name].run(spark, FOLDER))
+    below = text[text.index("LeftSemi"):]
+    assert "HashAggregate" not in below[:below.index("FileScan")] and "l_partkey" in below[:below.index("FileScan")]
