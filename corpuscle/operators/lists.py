@@ -6,7 +6,7 @@ it is carried range by range, so one very long list is not one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -252,12 +252,30 @@ def pick_table(rows: DataFrame, page: str, heading: Column, minimum: int, skip:
     conditions on the cells of a row (skip: any of the first two rows).
     """
     skipped = F.max((F.col("row_no") <= 1) & skip) if skip is not None else F.lit(False)
-    tables = rows.groupBy(page, "table_no").agg(
+    marks = rows.groupBy(page, "table_no").agg(
         F.count(F.lit(1)).alias("_n"), F.max((F.col("row_no") == 0) & heading).alias("_head"),
         skipped.alias("_skip"))
-    fit = tables.where((F.col("_n") >= minimum) & F.col("_head") & ~F.col("_skip"))
+    fit = marks.where((F.col("_n") >= minimum) & F.col("_head") & ~F.col("_skip"))
     first = fit.groupBy(page).agg(F.min("table_no").alias("table_no"))
-    return rows.join(first, [page, "table_no"], "left_semi").where(F.col("row_no") > 0)
+    return rows.join(first.hint("shuffle_hash"), [page, "table_no"], "left_semi").where(F.col("row_no") > 0)
+
+
+def pick_page_table(pages: DataFrame, page: str, tables: Column, heading: Callable[[Column], Column],
+                    minimum: int, skip: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``pick_table`` where one row holds all tables of its page, as an array of arrays of rows.
+
+    The table is picked inside that row, and only its rows are unfolded, into
+    (page, table_no, row_no, row).  ``heading`` and ``skip`` are conditions on a row.
+    """
+    def fits(table: Column) -> Column:
+        test = (F.size(table) >= minimum) & heading(F.try_element_at(table, F.lit(1)))
+        return test if skip is None else test & ~F.exists(F.slice(table, 1, 2), skip)
+
+    numbered = F.transform(tables, lambda t, i: F.struct(i.alias("table_no"), t.alias("rows")))
+    first = F.try_element_at(F.filter(numbered, lambda x: fits(x["rows"])), F.lit(1))
+    picked = pages.select(page, first.alias("_t"))
+    return picked.select(page, "_t.table_no", F.posexplode("_t.rows").alias("row_no", "row")) \
+        .where(F.col("row_no") > 0)
 
 
 def ordinal_rows(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

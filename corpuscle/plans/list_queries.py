@@ -240,14 +240,16 @@ pick AS (SELECT c.* FROM c JOIN (SELECT doc_id, min(table_no) AS table_no FROM f
 
 
 def _picked(t: Tables):
-    words = (t.documents.select("doc_id", F.posexplode(F.split("text", r"\. ")).alias(
-        "table_no", "para"))
-        .select("doc_id", "table_no", F.posexplode(F.split("para", " ")).alias("row_no", "w")))
-    rows = words.select("doc_id", "table_no", "row_no", F.array(
-        F.regexp_extract("w", "[aeiou]+", 0),
-        F.regexp_replace("w", "^([^aeiou]*)[aeiou]+", "$1")).alias("cells"))
-    return L.pick_table(rows, "doc_id", F.col("cells")[0] == "e", 8,
-                        F.contains(F.col("cells")[1], F.lit("st")))
+    def first(word):
+        return F.regexp_extract(word, "[aeiou]+", 0)
+
+    def rest(word):
+        return F.regexp_replace(word, "^([^aeiou]*)[aeiou]+", "$1")
+
+    tables = F.transform(F.split("text", r"\. "), lambda para: F.split(para, " "))
+    rows = L.pick_page_table(t.documents.select("doc_id", "text"), "doc_id", tables, lambda w: first(w) == "e",
+                             8, lambda w: F.contains(rest(w), F.lit("st")))
+    return rows.select("doc_id", "table_no", "row_no", F.array(first(F.col("row")), rest(F.col("row"))).alias("cells"))
 
 
 @query("picked_tables", "G28", PAGE_TABLES + """

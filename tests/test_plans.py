@@ -85,3 +85,9 @@ def test_links_without_items_are_dropped_before_they_are_counted(spark, name):
     text = plan(all_queries()[name].run(spark, FOLDER))
     below = text[text.index("LeftSemi"):]
     assert "HashAggregate" not in below[:below.index("FileScan")] and "l_partkey" in below[:below.index("FileScan")]
+
+
+@pytest.mark.parametrize("name,exchanges", [("picked_tables", 1), ("picked_table_check", 1)])
+def test_tables_are_picked_inside_their_row(spark, no_broadcast, name, exchanges):
+    text = plan(all_queries()[name].run(spark, FOLDER))
+    assert text.count("FileScan") == 1 and text.count("Exchange ") == exchanges and "Join" not in text
