@@ -91,3 +91,9 @@ def test_links_without_items_are_dropped_before_they_are_counted(spark, name):
 def test_tables_are_picked_inside_their_row(spark, no_broadcast, name, exchanges):
     text = plan(all_queries()[name].run(spark, FOLDER))
     assert text.count("FileScan") == 1 and text.count("Exchange ") == exchanges and "Join" not in text
+
+
+def test_names_of_editions_are_folded_and_shuffled_once(spark, no_broadcast):
+    text = plan(all_queries()["version_diff"].run(spark, FOLDER))
+    assert "translate" not in text and text.count("Exchange ") == 2
+    assert sum("Exchange " in x and "name#" in x for x in text.splitlines()) <= 1
