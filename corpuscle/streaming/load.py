@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.text import empty_to_null
 from corpuscle.operators.names import document_key, document_type
 from corpuscle.operators.star import content_hash, document_dimension, topic_name
-from corpuscle.streaming.tables import BUCKETS, read_batches, stored_keys, write_batch
+from corpuscle.streaming.tables import BUCKETS, drop_batch, read_batches, stored_keys, write_batch, written_once
 
 FACTS = ("content_hash STRING, source STRING, topic STRING, title STRING, question STRING, "
          "answer STRING, new BOOLEAN")
@@ -21,15 +21,20 @@ CITATIONS = ("content_hash STRING, key STRING, article STRING, clause STRING, po
 
 
 def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str],
-               buckets: int = BUCKETS) -> None:
+               buckets: int = BUCKETS, hold: bool = True) -> None:
     """One micro-batch of flat records (``docs`` and ``cites`` arrays) into four tables.
 
     A fact keeps the first record of its hash but the title of the last one;
     links and citations are those of the last record.
+
+    The facts and the documents each read the batch once.  ``hold`` keeps it between the two, so that
+    a batch with state, or one that is dear to compute, is computed once; without ``hold`` rows that a stream
+    merely reads from files are read again, and nothing of the size of the batch is held.
     """
     place = F.struct(*order)
-    # Four tables come from these rows and facts: each is computed once per batch.
-    rows = batch.withColumn("content_hash", content_hash("source", "title", "question")).persist()
+    rows = batch.withColumn("content_hash", content_hash("source", "title", "question"))
+    if hold:
+        rows = rows.persist()
     facts = rows.groupBy("content_hash").agg(
         F.min_by(F.struct(
             "source", topic_name(F.col("topic")).alias("topic"),
@@ -37,12 +42,14 @@ def load_batch(batch: DataFrame, root: str, batch_id: int, order: Sequence[str],
             empty_to_null("answer").alias("answer")), place).alias("f"),
         F.max_by("title", place).alias("title"),
         F.max_by(F.struct("docs", "cites"), place).alias("l"))
-    facts = facts.select("content_hash", "f.*", "title", "l.docs", "l.cites").persist()
+    facts = facts.select("content_hash", "f.*", "title", "l.docs", "l.cites")
     try:
-        _write_tables(rows, facts, root, batch_id, order, buckets)
+        # Three tables come from the facts, which are computed once per batch.
+        _write_tables(rows, written_once(facts, f"{root}/held", batch_id), root, batch_id, order, buckets)
     finally:
-        facts.unpersist()
-        rows.unpersist()
+        drop_batch(batch.sparkSession, f"{root}/held", batch_id)
+        if hold:
+            rows.unpersist()
 
 
 def _write_tables(rows: DataFrame, facts: DataFrame, root: str, batch_id: int, order: Sequence[str],
@@ -73,10 +80,11 @@ def _write_tables(rows: DataFrame, facts: DataFrame, root: str, batch_id: int, o
         "key", "name", "number", "link", "type"), f"{root}/documents", batch_id)
 
 
-def start_load(stream: DataFrame, root: str, checkpoint: str, order: Sequence[str], buckets: int = BUCKETS):
-    """Load everything that is there, batch by batch, then stop."""
+def start_load(stream: DataFrame, root: str, checkpoint: str, order: Sequence[str], buckets: int = BUCKETS,
+               hold: bool = True):
+    """Load everything that is there, batch by batch, then stop; ``hold`` as in ``load_batch``."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, root, batch_id, order, buckets)
+        load_batch(batch, root, batch_id, order, buckets, hold)
 
     return (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

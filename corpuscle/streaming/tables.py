@@ -35,6 +35,17 @@ def write_batch(df: DataFrame, root: str, batch_id: int, key: str | None = None,
             .mode("overwrite").parquet(path)
 
 
+def written_once(df: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The rows from the folder they are written to for the time of the batch; ``drop_batch`` removes it."""
+    write_batch(df, root, batch_id)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/batch={batch_id}")
+
+
+def drop_batch(spark: SparkSession, root: str, batch_id: int) -> None:
+    path, system = _hadoop(spark, f"{root}/batch={batch_id}")
+    system.delete(path, True)
+
+
 def stored_keys(keys: DataFrame, root: str, schema: T.StructType | str, key: str, before: int,
                 buckets: int = BUCKETS) -> DataFrame:
     """What earlier batches wrote into the buckets of ``keys``, of which there are ``buckets`` at most."""
@@ -51,9 +62,13 @@ def read_batches(spark: SparkSession, root: str, schema: T.StructType | str,
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(hadoop):
+    path, system = _hadoop(spark, root)
+    if not system.exists(path):
         return spark.createDataFrame([], full)
     rows = spark.read.schema(full).parquet(root)
     return rows.where(F.col("batch") < before) if before is not None else rows
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -110,6 +110,32 @@ def test_stream_load_equals_reload(spark, rows, tmp_path):
         ("tn:luat a", "Luật"), ("tn:luat b", "Luật")]
 
 
+def test_batches_are_held_only_on_request(spark, rows, tmp_path, monkeypatch):
+    """A batch read from files is not cached, its facts are written once and dropped; the tables are the same."""
+    ddl = ("id INT, source STRING, topic STRING, title STRING, question STRING, answer STRING, "
+           "docs ARRAY<STRUCT<name: STRING, number: STRING, link: STRING>>, "
+           "cites ARRAY<STRUCT<document: STRING, number: STRING, article: STRING, clause: STRING, "
+           "point: STRING, quoted: STRING>>")
+    batch = rows([(i, "s", "t", "x", str(i % 3), f"a{i}", [("Luật A", "", f"l{i}"), (f"Luật {i % 2}", "", None)],
+                   [("Luật A", "", str(i), "", "", "g")]) for i in range(10)], ddl)
+    write, cached = load._write_tables, []
+
+    def spy(rows, facts, *rest):
+        cached.append((rows.storageLevel.useMemory, facts.storageLevel.useMemory))
+        write(rows, facts, *rest)
+
+    monkeypatch.setattr(load, "_write_tables", spy)
+    got = []
+    for hold in (True, False):
+        root = str(tmp_path / str(hold))
+        load.load_batch(batch, root, 0, ["id"], 4, hold)
+        got.append([values(t(spark, root)) for t in (
+            load.facts_table, load.documents_table, load.links_table, load.citations_table)])
+        assert not list((tmp_path / str(hold) / "held").iterdir())
+    assert cached == [(True, False), (False, False)]
+    assert got[0] == got[1] and [len(t) for t in got[0]] == [3, 3, 6, 3]
+
+
 def _files_read(df):
     """Files the scan of an executed plan opened."""
     df.collect()

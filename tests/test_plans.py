@@ -7,7 +7,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from corpuscle.plans import all_queries  # noqa: E402
+from corpuscle.plans import all_queries, stream_queries  # noqa: E402
+from corpuscle.plans.registry import Tables  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"page_blocks", "paragraph_blocks", "page_listing", "page_tables", "page_lines",
@@ -97,3 +98,11 @@ def test_names_of_editions_are_folded_and_shuffled_once(spark, no_broadcast):
     text = plan(all_queries()["version_diff"].run(spark, FOLDER))
     assert "translate" not in text and text.count("Exchange ") == 2
     assert sum("Exchange " in x and "name#" in x for x in text.splitlines()) <= 1
+
+
+def test_stream_load_is_delivered_columns_of_its_table(spark):
+    """The stream makes the records; their texts and lists are not written before it."""
+    star = Path(stream_queries._load(Tables(spark, FOLDER)).removeprefix("file:"))
+    staged = spark.read.parquet(str(star.parent / "in"))
+    assert staged.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    assert staged.count() == spark.read.parquet(f"{FOLDER}/orders.parquet").count()
