@@ -265,6 +265,25 @@ def test_unlike_names_do_not_leave_the_join(spark):
     assert found.count() == 0
 
 
+def test_rounding_loses_no_candidate(spark):
+    """35 and 15 words with 15 in common are just alike enough at 0.6; in floats 35 * 0.6 / 1.4 is above 15."""
+    common = [f"w{i}" for i in range(15)]
+    long, short = " ".join(common + [f"x{i}" for i in range(20)]), " ".join(common)
+    old, new = (spark.createDataFrame([(k, 1)], "key STRING, position INT") for k in (long, short))
+    for one, other in ((old, new), (new, old)):
+        assert values(E.candidate_pairs(one, other, share=0.6, tokens=E.words), "score") == [(0.6,)]
+
+
+def test_names_meet_by_word_and_size(spark):
+    """Names that cannot be alike by their sizes, or by what is left behind a word, are not held against each other."""
+    old = spark.createDataFrame([(" ".join(["w", *(f"x{j}" for j in range(40))]), 1)], "key STRING, position INT")
+    new = spark.createDataFrame([("w", 1)], "key STRING, position INT")
+    found = E.candidate_pairs(old, new, share=0.6, tokens=E.words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner" in line and "class" in line and "bit_count" in line for line in plan.splitlines())
+    assert found.count() == 0
+
+
 def test_candidates_stay_within_their_list(spark):
     ddl = "list STRING, key STRING, position INT"
     old = spark.createDataFrame([("x", "sale of fire works", 1), ("y", "sale of arms", 2), (None, "sale", 3)], ddl)
