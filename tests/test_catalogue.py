@@ -15,6 +15,7 @@ from corpuscle.operators import profiling as P
 from corpuscle.operators import search as Q
 from corpuscle.operators import views as V
 from corpuscle.functions.text import fold_key
+from corpuscle.plans import all_queries
 
 CELLS = "t INT, n INT, cells ARRAY<STRING>"
 
@@ -284,6 +285,15 @@ def test_names_meet_by_word_and_size(spark):
     assert found.count() == 0
 
 
+def test_diff_report_folds_names_once(spark, monkeypatch):
+    folded = []
+    monkeypatch.setattr(E, "fold_key", lambda name, f=E.fold_key: folded.append(1) or f(name))
+    monkeypatch.setattr(E, "renamed_pairs", lambda old, new, **_: old.limit(0).selectExpr(
+        "key AS old_key", "key AS new_key", "0.0D AS score"))
+    all_queries()["diff_report"].run(spark, "/root/testdata/sf0.001")
+    assert len(folded) == 2     # one per edition
+
+
 def test_candidates_stay_within_their_list(spark):
     ddl = "list STRING, key STRING, position INT"
     old = spark.createDataFrame([("x", "sale of fire works", 1), ("y", "sale of arms", 2), (None, "sale", 3)], ddl)
